@@ -47,3 +47,9 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_dir() -> str:
     """Inside a task: the disk Spark gives its executor for spills (SPARK_LOCAL_DIRS), nothing that must outlive the task."""
     return os.environ.get("SPARK_LOCAL_DIRS", tempfile.gettempdir()).split(",")[0]
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """df computed once and kept in the shared folder (a reliable checkpoint): for results that several branches read. Survives lost executors."""
+    shared_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
