@@ -5,7 +5,7 @@ per task); only the distinct survivors are brought to canonical form; these are
 Nothing is gathered: a group is a smallest key, a count and no list, so its size doesn't matter.
 
 The canonical form keeps letters, digits and accents, in lower case, characters that look alike being one; named fields (name: value or
-name = value, separated by ; or |) are put in alphabetical order.
+name = value, separated by a sign or line end) are put in alphabetical order.
 
 Defined cases: null texts and texts without letter or digit have no canonical form and are left out (counted by none); an empty table gives an
 empty result; equal rows of one key count once.
@@ -22,8 +22,8 @@ from larkspur.session import cut
 
 #: Letters and digits, with the marks that belong to letters.
 KEEP = "\\p{L}\\p{M}\\p{N}"
-#: A text of named fields: a head, then at least two of name: value.
-FIELDS = "^[^|;]*[|;]?\\s*[\\p{L} _]{1,30}\\s*[:=][^;|]*([;|]\\s*[\\p{L} _]{1,30}\\s*[:=][^;|]*)+$"
+#: Where a named field begins: a sign or line end, one word, then : or =. Two of these make a text one of named fields.
+FIELD = "[\\s;|,/·•–—-]*[;|,:\\n/·•–—-][\\s;|,/·•–—-]*([\\p{L}_]+)\\s*[:=]\\s*"
 
 
 def classes() -> tuple[str, str]:
@@ -41,14 +41,12 @@ def classes() -> tuple[str, str]:
 def canonical(df: DataFrame, text: str = "text", keep: str = "") -> DataFrame:
     """The columns of df named in keep (with types), text and its canonical text."""
     a, b = classes()
-    plain = f"case when regexp_full_match(text, '[\\x00-\\x7F]*') then lower(text) else nfc_normalize(translate(lower({plain_sql('text')}), {quoted(a)}, {quoted(b)})) end"
+    plain = f"case when regexp_full_match(text, '[\\x00-\\x7F]*') then lower(text) else replace(nfc_normalize(translate(lower({plain_sql('text')}), {quoted(a)}, {quoted(b)})), 'ß', 'ss') end"
     strip = lambda s: f"regexp_replace({s}, '[^{KEEP}]+', '', 'g')"
     names = [c.split()[0] for c in keep.split(",") if c.strip()]
-    split = "string_split_regex(plain, '\\s*[;|]\\s*')"
     sql = (
-        f"select {''.join(n + ', ' for n in names)}text, case when regexp_full_match(plain, {quoted(FIELDS)}) "
-        f"then {strip(f'{split}[1]')} || ' ' || array_to_string(list_sort(list_transform({split}[2:], lambda f: {strip('f')})), ' ') else {strip('plain')} end as canon "
-        f"from (select *, {plain} as plain from batch)"
+        f"select {''.join(n + ', ' for n in names)}text, case when len(parts) > 2 then {strip('parts[1]')} || ' ' || array_to_string(list_sort(list_transform(parts[2:], lambda f: {strip('f')})), ' ') else {strip('plain')} end as canon "
+        f"from (select *, string_split(regexp_replace(plain, {quoted(FIELD)}, chr(30) || '\\1 ', 'g'), chr(30)) as parts from (select *, {plain} as plain from batch))"
     )
     d = df.select(*names, F.col(f"`{text}`").alias("text"))
     return map_sql(d, sql, (keep + ", " if keep else "") + "text string, canon string")
