@@ -1,7 +1,8 @@
 """Problem 5: one record for copies that differ only in their layout.
 
 First byte-identical texts are collapsed with their counts (combined on the map side, so a text that a third of all rows share moves as one row
-per task); only the distinct survivors are brought to canonical form; these are grouped again on the full canonical text, summing the counts.
+per task); only the distinct survivors are brought to canonical form; these are grouped again on the full canonical text, summing the counts. Texts travel through shuffles as
+128 bits of hash, but for the one that collapses them.
 Nothing is gathered: a group is a smallest key, a count and no list, so its size doesn't matter.
 
 The canonical form keeps letters, digits and accents, in lower case, characters that look alike being one; named fields (name: value or
@@ -38,39 +39,48 @@ def classes() -> tuple[str, str]:
     return "".join(to), "".join(to.values())
 
 
-def canonical(df: DataFrame, text: str = "text", keep: str = "") -> DataFrame:
-    """The columns of df named in keep (with types), text and its canonical text."""
+def canonical_sql(more: str = "") -> str:
+    """SQL over the table batch (column text): the columns in more, and canon, the canonical text."""
     a, b = classes()
     plain = f"case when regexp_full_match(text, '[\\x00-\\x7F]*') then lower(text) else replace(nfc_normalize(translate(lower({plain_sql('text')}), {quoted(a)}, {quoted(b)})), 'ß', 'ss') end"
     strip = lambda s: f"regexp_replace({s}, '[^{KEEP}]+', '', 'g')"
-    names = [c.split()[0] for c in keep.split(",") if c.strip()]
-    sql = (
-        f"select {''.join(n + ', ' for n in names)}text, case when len(parts) > 2 then {strip('parts[1]')} || ' ' || array_to_string(list_sort(list_transform(parts[2:], lambda f: {strip('f')})), ' ') else {strip('plain')} end as canon "
+    return (
+        f"select {more}case when len(parts) > 2 then {strip('parts[1]')} || ' ' || array_to_string(list_sort(list_transform(parts[2:], lambda f: {strip('f')})), ' ') else {strip('plain')} end as canon "
         f"from (select *, string_split(regexp_replace(plain, {quoted(FIELD)}, chr(30) || '\\1 ', 'g'), chr(30)) as parts from (select *, {plain} as plain from batch))"
     )
-    d = df.select(*names, F.col(f"`{text}`").alias("text"))
-    return map_sql(d, sql, (keep + ", " if keep else "") + "text string, canon string")
 
 
-def copy_classes(df: DataFrame, key: str, text: str = "text") -> tuple[DataFrame, DataFrame]:
-    """(texts, classes): texts has each distinct text with its canonical text, smallest key and count; classes each canonical text with its
-    smallest key (root) and its number of copies."""
-    rows = df.where(F.col(f"`{text}`").rlike("[\\p{L}\\p{Nd}]")).select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("text")).distinct()
-    kind = rows.schema["key"].dataType.simpleString()
-    distinct = rows.groupBy("text").agg(F.min("key").alias("first_key"), F.count(F.lit(1)).alias("n"))
-    texts = cut(canonical(distinct, "text", f"first_key {kind}, n bigint"))
-    return texts, texts.groupBy("canon").agg(F.min("first_key").alias("root"), F.sum("n").alias("copies"))
+def canonical(df: DataFrame, key: str, text: str = "text") -> DataFrame:
+    """key and the canonical text (canon) of every row; null for a null text."""
+    d = df.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("text"))
+    return map_sql(d, canonical_sql("key, "), f"key {d.schema['key'].dataType.simpleString()}, canon string")
+
+
+def _hashes(c: str, a: str, b: str) -> list:
+    """128 bits of hash that stand for a text in shuffles."""
+    return [F.xxhash64(F.lit(1), F.col(c)).alias(a), F.xxhash64(F.lit(2), F.col(c)).alias(b)]
+
+
+def _collapsed(df: DataFrame, key: str, text: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """ids: the rows as (key, t1, t2); texts: every distinct text as (t1, t2, c1, c2, n); groups: every canonical text as (c1, c2, root, copies).
+    t and c are hashes of the whole text and the whole canonical text."""
+    raw = df.where(F.col(f"`{text}`").rlike("[\\p{L}\\p{Nd}]") & F.col(f"`{key}`").isNotNull()).select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("text"))
+    ids = raw.select("key", *_hashes("text", "t1", "t2")).distinct()
+    n = ids.groupBy("t1", "t2").agg(F.count(F.lit(1)).alias("n"), F.min("key").alias("first_key"))
+    distinct = raw.select("text").distinct().select("text", *_hashes("text", "t1", "t2"))
+    canon = map_sql(distinct, canonical_sql("t1, t2, "), "t1 bigint, t2 bigint, canon string").select("t1", "t2", *_hashes("canon", "c1", "c2"))
+    texts = cut(canon.join(n, ["t1", "t2"]))
+    return ids, texts, texts.groupBy("c1", "c2").agg(F.min("first_key").alias("root"), F.sum("n").alias("copies"))
 
 
 def one_per_text(df: DataFrame, key: str, text: str = "text") -> DataFrame:
-    """The collapsed records: root, canon, copies."""
-    return copy_classes(df, key, text)[1].select("root", "canon", "copies")
+    """The collapsed records: the smallest key of each canonical text (root), and how many keys have it (copies)."""
+    return _collapsed(df, key, text)[2].select("root", "copies")
 
 
 def copy_links(df: DataFrame, key: str, text: str = "text") -> DataFrame:
-    """(root, key) for every copy other than the root itself."""
-    rows = df.where(F.col(f"`{text}`").rlike("[\\p{L}\\p{Nd}]")).select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("text")).distinct()
-    texts, groups = copy_classes(df, key, text)
-    # Texts whose class has one row leave here, so that the join with the rows meets the rest only.
-    roots = texts.join(groups.where("copies > 1"), "canon").select("text", "root")
-    return rows.join(roots, "text").where("key <> root").select("root", "key")
+    """(root, key) for every copy other than the root itself. A hot text's rows are split by Spark's skew join (adaptive execution)."""
+    ids, texts, groups = _collapsed(df, key, text)
+    # Texts whose class has one row leave here, so that the rows meet only the others.
+    roots = texts.join(groups.where("copies > 1"), ["c1", "c2"]).select("t1", "t2", "root")
+    return ids.join(roots, ["t1", "t2"]).where("key <> root").select("root", "key")

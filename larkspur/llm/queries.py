@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larkspur.llm import copies, frequency, lookalike
+from larkspur.llm import copies, frequency, language, lookalike
 from larkspur.session import table
 
 QUERIES: dict = {}
@@ -80,3 +80,25 @@ union all select 'simple_term.pos', pos, count(*), count(distinct doc_id), (sele
 m as (select *, case when records < 3 then 'rare' when records > 0.2 * n then 'common' end as mark from c) """
 ORACLE["p7_found"] = _P7 + "select field, term, mark from m where mark is not null"
 ORACLE["p7_terms"] = _P7 + "select field, term, occurrences, records, mark from m"
+
+
+def _stretches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tweets = table(spark, sf_dir, "tweets").where("tweet_id is not null")
+    return language.stretches(tweets, table(spark, sf_dir, "lang_samples"), "tweet_id", "text", "lang")
+
+
+@query
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts without a label or with a wrong one, and mixed ones, a row per language held."""
+    s = _stretches(spark, sf_dir).where("stretches is not null").select("key", language.label(F.col("lang")).alias("label"), F.array_distinct(F.transform("stretches", lambda x: x["lang"])).alias("langs"))
+    s = s.withColumn("langs", F.when(F.size("langs") > 1, F.array_remove("langs", "und")).otherwise(F.col("langs")))
+    case = (F.size("langs") > 1) | F.when(F.col("label").isNull(), F.col("langs")[0] != "und").otherwise(F.col("langs")[0] != F.col("label"))
+    # Redelivered rows are equal: the cases, not the texts, are made unique.
+    return s.where(case).select(F.col("key").alias("tweet_id"), F.explode("langs").alias("lang")).distinct()
+
+
+@query
+def p3_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text's segments with language and confidence."""
+    s = _stretches(spark, sf_dir).where("stretches is not null").select(F.col("key").alias("tweet_id"), F.posexplode("stretches").alias("segment", "s"))
+    return s.select("tweet_id", "segment", "s.lang", F.round("s.confidence", 4).alias("confidence"), "s.start_pos", "s.end_pos").distinct()
