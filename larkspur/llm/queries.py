@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larkspur.llm import copies, frequency, language, lookalike
+from larkspur.llm import abuse, copies, frequency, language, lookalike
 from larkspur.session import table
 
 QUERIES: dict = {}
@@ -102,3 +102,26 @@ def p3_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every text's segments with language and confidence."""
     s = _stretches(spark, sf_dir).where("stretches is not null").select(F.col("key").alias("tweet_id"), F.posexplode("stretches").alias("segment", "s"))
     return s.select("tweet_id", "segment", "s.lang", F.round("s.confidence", 4).alias("confidence"), "s.start_pos", "s.end_pos").distinct()
+
+
+def _scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return abuse.score(table(spark, sf_dir, "tweets").where("tweet_id is not null"), table(spark, sf_dir, "tweet_labels"))
+
+
+@query
+def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # Redelivered rows score alike: the cases, not the texts, are made unique.
+    return _scores(spark, sf_dir).where(F.col("score") >= abuse.THRESHOLD).select(F.col("key").alias("tweet_id")).distinct()
+
+
+@query
+def p1_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every tweet's score."""
+    return _scores(spark, sf_dir).groupBy(F.col("key").alias("tweet_id")).agg(F.max("score").alias("score"))
+
+
+@query
+def p1_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tweets, cases and their rate per source (null sources are one)."""
+    one = _scores(spark, sf_dir).groupBy("key", "source").agg(F.max("score").alias("score"))
+    return one.groupBy("source").agg(F.count(F.lit(1)).alias("tweets"), F.count_if(F.col("score") >= abuse.THRESHOLD).alias("cases"), F.avg((F.col("score") >= abuse.THRESHOLD).cast("double")).alias("rate"), F.avg("score").alias("mean_score"))
