@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larkspur.llm import abuse, copies, frequency, language, lookalike
+from larkspur.llm import abuse, copies, frequency, language, lookalike, personal
 from larkspur.session import table
 
 QUERIES: dict = {}
@@ -125,3 +125,18 @@ def p1_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tweets, cases and their rate per source (null sources are one)."""
     one = _scores(spark, sf_dir).groupBy("key", "source").agg(F.max("score").alias("score"))
     return one.groupBy("source").agg(F.count(F.lit(1)).alias("tweets"), F.count_if(F.col("score") >= abuse.THRESHOLD).alias("cases"), F.avg((F.col("score") >= abuse.THRESHOLD).cast("double")).alias("rate"), F.avg("score").alias("mean_score"))
+
+
+@query
+def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = table(spark, sf_dir, "tweets").where("tweet_id is not null and text is not null")
+    # Redelivered rows hold the same items: these, not the texts, are made unique.
+    f = personal.found(t, "tweet_id", "text").select(F.col("key").alias("tweet_id"), F.explode("items").alias("i"))
+    return f.select("tweet_id", "i.kind", "i.start_pos").distinct()
+
+
+@query
+def p2_redacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every tweet's text with placeholders for personal data."""
+    t = table(spark, sf_dir, "tweets").where("tweet_id is not null")
+    return personal.redacted(t, "tweet_id", "text").select(F.col("key").alias("tweet_id"), "text").distinct()
