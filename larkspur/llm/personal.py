@@ -176,7 +176,7 @@ FORMATS = {
 }
 # Phrases before (and after) a number, by kind.
 PHRASES = {
-    "phone": """call me on {}|call {} when you reach us|phone {}|tel {}|Tel. {}|text {}|new number {}|my mobile is {}|reach them at {} or by mail|ruf mich an unter {}|Telefon {}|Handy: {}|appelle le {} en arrivant|téléphone {}|tél. {}|llámame al {}|mi teléfono es {}|chiamami al {} quando arrivi|il numero è {}|cell. {}|liga-me para o {}|telefone {}|whatsapp {}|for the trip: Paul Miller / {}|Clara Berg, {}, cherche son chat|open all week {}|{}, not the office|or {}""".split("|"),
+    "phone": """call me on {}|call {} when you reach us|phone {}|tel {}|Tel. {}|text {}|new number {}|new number {}!|my new number is {}|our new number: {}|nouveau numéro {}|nuevo número {}|neue Nummer {}|nuovo numero {}|my mobile is {}|reach them at {} or by mail|ruf mich an unter {}|Telefon {}|Handy: {}|appelle le {} en arrivant|téléphone {}|tél. {}|llámame al {}|mi teléfono es {}|chiamami al {} quando arrivi|il numero è {}|cell. {}|liga-me para o {}|telefone {}|whatsapp {}|for the trip: Paul Miller / {}|Clara Berg, {}, cherche son chat|open all week {}|{}, not the office|or {}""".split("|"),
     "id_number": """my SSN is {}|SSN {}|passport {} handed in at the desk|a card with number {} on it|his number is {}|owes money, her number is {}|national insurance {}|mein Ausweis {} liegt irgendwo|Ausweisnummer {}|j'ai perdu ma carte {} à la gare|le numéro {} traîne sur le mur|mon numéro de sécu est {}|mi DNI es {}|perdí mi documento {}|el pasaporte {} apareció|il mio codice {} è finito sul muro|codice fiscale {}|hanno pubblicato la mail e {}|o meu documento {}|CPF {}|id {}""".split("|"),
     "no": """the order {} finally arrived|order {}|ticket no. {} found on the bus|parcel {} left the depot|ISBN {} is back|version {} fixed nothing|the {} minutes are out|doors open at 19:30 on {}|lat {} lon {}|die Bestellung {} kam an|Paket {} ist da|le colis {} est resté|commande {}|el pedido {} salió|il treno {} parte|l'ordine {}|a encomenda {} chegou|invoice {}|score {}|build {}|it cost {}|the storm {} came|{} people|seen on {}""".split("|"),
 }
@@ -185,7 +185,7 @@ STREETS_EN = "Marlow Street|12 Old Mill Road|Copper Lane|Thorn Drive|High St|Sta
 STREETS_FR = "rue des Lilas|avenue du Vieux Port|place des Ormes|rue de la Gare|boulevard Pasteur|rue du Moulin|place du Marché".split("|")
 STREETS_NUMBER_LAST = "Via dei Tigli|Viale delle Rose|Piazza del Popolo|Corso Garibaldi|Via Roma|Calle del Sauce|C/ de la Noria|Avenida los Olmos|Calle los Herreros|Plaza las Fuentes|Avenida de la Paz|Plaza Mayor|Rua das Flores|Travessa do Sol|Lindenweg|Mühlenstraße|Amselgasse|Fasanenstr.|Am Alten Hafen|Gartenstr.|Bahnhofstraße|Marktplatz|Schillerallee".split("|")
 FAMILIES = "Miller Brook Ashdown Kowalski Ferrante Okonjo Berglund Petrescu Lindqvist Moreau Dubois Rossi Marchetti Schneider Brandt Castillo Navarro Pereira Almeida Novak Zielinski Hartmann O'Brien O'Neill Tarr Wolff Ivanov Horvath Delacroix Montero Vasari Holm Winters Ellsworth Quill Rask Drummond Passos Vestri".split()
-AROUND_PLACE = "the party is at {}|she lives at {}, phone later|anyone near? {}, back door|parcel for you, {}, left here|die Feier ist in der {}, bring Brot mit|hier hängt ein Zettel: {}|la fête est au {}, apporte du pain|la fiesta es en {}|vive en Madrid, {}|la festa è in {}|abita in {}, vicino|mora na {}|{}|my address: {}".split("|")
+AROUND_PLACE = "the party is at {}|she lives at {}, phone later|anyone near? {}, back door|parcel for you, {}, left here|die Feier ist in der {}, bring Brot mit|hier hängt ein Zettel: {}|la fête est au {}, apporte du pain|la fiesta es en {}|vive en Madrid, {}|la festa è in {}|abita in {}, vicino|mora na {}|{}|my address: {}|Clara Berg {}, 23456 Town|Felix Holm {} open all week|Paul Miller\n{}\n020 7946 0100|il signor Marco Holm, {}|parcel for Anna Holm, {}, left at the desk|vive en Sevilla, {}, 41001 Sevilla".split("|")
 AROUND_NAME = "I met {} at the market|ask for {}|thanks to {} from the shop|Mr {} owes money|Dr {} moved|they towed {} again|{} is looking for a flat|parcel for {}, left at the station|the landlord is {}, call|gestern traf ich {} in der Stadt|Frau {} aus Berlin, Tel.|Herr {} wohnt hier|hier hängt ein Zettel: {}, Lindenweg|hier j'ai vu {} à Paris|madame {} de Lyon cherche son chat|ayer vi a {} en el parque|la señora {} vive en León|ho incontrato {} a Roma|il signor {} abita in Via Roma|ontem vi {} na rua|for the trip: {} / call|{}\n12 Church Lane|{} is looking for a flat|{} lives here now|{} wohnt hier|{} habite ici|{} vive aquí|signed {}".split("|")
 NO_NAME = "{g} and {h} from town won the race|{g} found a red bicycle|{g} was here|I saw {g} today|{g}, come home|hola {g} que tal|das ist {g} aus Berlin|{g} von nebenan|c'est {g} la voisine|la {g} bonita|via {g}|{g} in the rain|the {g} team|{g} Days festival|Saint {g} square|Santa {g} beach|{g} the cat|mit {g} und {h}|con {g} e {h}|avec {g} et {h}|rosa moschata|{g} airport|{g} museum|{g} Street is closed|die {g} Straße ist gesperrt".split("|")
 
