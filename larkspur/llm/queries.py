@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larkspur.llm import abuse, copies, frequency, language, lookalike, personal
+from larkspur.llm import abuse, copies, frequency, language, lookalike, personal, truncation
 from larkspur.session import table
 
 QUERIES: dict = {}
@@ -140,3 +140,15 @@ def p2_redacted(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every tweet's text with placeholders for personal data."""
     t = table(spark, sf_dir, "tweets").where("tweet_id is not null")
     return personal.redacted(t, "tweet_id", "text").select(F.col("key").alias("tweet_id"), "text").distinct()
+
+
+@query
+def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return truncation.judged(table(spark, sf_dir, "documents"), "doc_id", "text", "source").where("why is not null").select(F.col("key").alias("doc_id"))
+
+
+@query
+def p10_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts, cut ones and their rate per source."""
+    j = truncation.judged(table(spark, sf_dir, "documents"), "doc_id", "text", "source")
+    return j.groupBy("source").agg(F.count(F.lit(1)).alias("texts"), F.count("why").alias("cut"), (F.count("why") / F.count(F.lit(1))).alias("rate"))
