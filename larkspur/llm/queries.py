@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larkspur.llm import abuse, copies, frequency, language, lookalike, personal, truncation
-from larkspur.session import table
+from larkspur.llm import abuse, copies, encoding, frequency, language, lookalike, mixing, personal, truncation
+from larkspur.session import cut, table
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -152,3 +152,27 @@ def p10_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Texts, cut ones and their rate per source."""
     j = truncation.judged(table(spark, sf_dir, "documents"), "doc_id", "text", "source")
     return j.groupBy("source").agg(F.count(F.lit(1)).alias("texts"), F.count("why").alias("cut"), (F.count("why") / F.count(F.lit(1))).alias("rate"))
+
+
+@query
+def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encoding.encode(table(spark, sf_dir, "documents"), "doc_id", "text").withColumnRenamed("key", "doc_id")
+
+
+def _sized(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """documents with their number of tokens."""
+    ids = encoding.encode(table(spark, sf_dir, "documents"), "doc_id", "text").select(F.col("key").alias("doc_id"), F.size("ids").alias("tokens"))
+    return cut(table(spark, sf_dir, "documents").select("doc_id", "source").join(ids, "doc_id"))
+
+
+@query
+def p9_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents of the mixture with their copies."""
+    return mixing.mixture(_sized(spark, sf_dir), table(spark, sf_dir, "mix_targets"), "doc_id", "source", "tokens").withColumnRenamed("key", "doc_id")
+
+
+@query
+def p9_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The shares reached."""
+    docs, targets = _sized(spark, sf_dir), table(spark, sf_dir, "mix_targets")
+    return mixing.reached(mixing.mixture(docs, targets, "doc_id", "source", "tokens"), docs, targets, "source", "tokens")
