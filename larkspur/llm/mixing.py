@@ -58,13 +58,13 @@ def mixture(docs: DataFrame, targets: DataFrame, key: str, source: str, tokens:
         largest = min(most * sum(t for _, _, t in by[s]) / (share / shares) for s, (share, most) in usable.items())
         size = largest if total is None else total
     for s, (share, most) in usable.items():
-        budget = min(size * share / shares, most * sum(t for _, _, t in by[s]))
+        budget = 1.0 * min(size * share / shares, most * sum(t for _, _, t in by[s]))
         c = level(by[s], budget, most)
         rows = []
         for b, _, t in by[s]:
             e = min(c * 2.0 ** (-DAMPING * b / STEPS), most)
             whole = math.floor(e + 1e-9)
-            rows.append((s, b, whole, max(0.0, e - whole), t * whole))
+            rows.append((s, b, whole, max(0.0, e - whole), float(t * whole)))
         rest = budget - sum(r[4] for r in rows)
         plan += [(s, b, w, f, rest) for s, b, w, f, _ in rows]
     plan_df = F.broadcast(spark.createDataFrame(plan, schema))  # sources times the steps of a length
