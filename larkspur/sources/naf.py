@@ -98,7 +98,7 @@ def write_naf(docs: DataFrame, folder: str) -> DataFrame:
 def read_relationships(spark: SparkSession, path: str) -> DataFrame:
     """image_id, relationships of a JSON array of images, plain or gzip; image_id is the place in the array."""
     s = "relationships ARRAY<STRUCT<predicate:STRING,synsets:ARRAY<STRING>,object:STRUCT<synsets:ARRAY<STRING>>,subject:STRUCT<synsets:ARRAY<STRING>>>>"
-    whole = spark.read.option("wholetext", "true").text(path)
+    whole = spark.read.text(path, wholetext=True)
     return whole.select(F.posexplode(F.from_json("value", f"ARRAY<STRUCT<{s.replace(' ', ':', 1)}>>")).alias("image_id", "i")).select(F.col("image_id").cast("bigint").alias("image_id"), "i.relationships")
 
 

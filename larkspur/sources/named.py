@@ -115,14 +115,17 @@ def write_named(df: DataFrame, config: StorageConfig, kind: str = "text", tasks:
     os.makedirs(local_path(config.folder), exist_ok=True)
     out = df.coalesce(tasks) if tasks == 1 else df.repartition(tasks)
     w = out.write.format("named-text").mode("append").option("path", config.folder).option("prefix", config.prefix).option("suffix", config.suffix).option("kind", kind)
-    w.option("rowsPerPart", str(config.rows_per_part)).option("compress", str(config.compress).lower()).option("tasks", str(tasks)).save(config.folder)
+    w.option("rowsPerPart", str(config.rows_per_part)).option("compress", str(config.compress).lower()).option("tasks", str(tasks)).save()
+
+
+def _found(spark: SparkSession, config: StorageConfig) -> list:
+    p = spark._jvm.org.apache.hadoop.fs.Path(f"{config.folder}/{config.prefix}*")
+    return list(p.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(p) or [])
 
 
 def output_exists(spark: SparkSession, config: StorageConfig) -> bool:
     """Whether any file's name begins with the prefix: word.dict is there if word.dict-1 is."""
-    p = spark._jvm.org.apache.hadoop.fs.Path(f"{config.folder}/{config.prefix}*")
-    found = p.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(p)
-    return found is not None and len(found) > 0
+    return bool(_found(spark, config))
 
 
 def tuple_string(*cols) -> F.Column:
@@ -138,11 +141,13 @@ def chunk_sizes(files: DataFrame, name: str = "name", size: str = "length") -> D
 
 def list_chunks(spark: SparkSession, config: StorageConfig) -> DataFrame:
     """chunk_sizes of the configuration's files with its prefix."""
-    files = spark.read.format("binaryFile").load(f"{config.folder}/{config.prefix}*").select(F.element_at(F.split("path", "/"), -1).alias("name"), "length")
+    # Listed by the file system: Spark's own sources leave empty files out.
+    rows = [(f.getPath().getName(), f.getLen()) for f in _found(spark, config) if f.isFile()]
+    files = spark.createDataFrame(rows, "name string, length bigint")
     return chunk_sizes(files)
 
 
 def assemble(spark: SparkSession, config: StorageConfig, out: str) -> None:
     """The lines of the configuration's files with its prefix as one gzip file in the folder out, in the order of the names and lines."""
-    files = spark.read.option("wholetext", "true").text(f"{config.folder}/{config.prefix}*").select("value", F.col("_metadata.file_name").alias("name"))
+    files = spark.read.text(f"{config.folder}/{config.prefix}*", wholetext=True).select("value", F.col("_metadata.file_name").alias("name"))
     files.coalesce(1).sortWithinPartitions("name").select(F.regexp_replace("value", r"\n\z", "").alias("value")).write.option("compression", "gzip").text(out)

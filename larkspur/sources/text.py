@@ -42,7 +42,7 @@ def open_text(spark: SparkSession, source: str) -> DataFrame:
 
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
     """name, line, value: the lines of each file of a folder in order, those without text after the last one left out; folders in it aren't read."""
-    files = spark.read.option("wholetext", "true").text(path).select(F.element_at(F.split("_metadata.file_path", "/"), -1).alias("name"), F.regexp_replace("value", r"\n+\z", "").alias("value"))
+    files = spark.read.text(path, wholetext=True).select(F.element_at(F.split("_metadata.file_path", "/"), -1).alias("name"), F.regexp_replace("value", r"\n+\z", "").alias("value"))
     return files.select("name", F.posexplode(F.split("value", "\n")).alias("line", "value"))
 
 

@@ -18,7 +18,7 @@ def read_tsv(spark: SparkSession, path: str, columns: list[str], quote: str = '"
 
 def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
     """n, value: the lines of one small file in order (lexicons, dictionaries)."""
-    whole = spark.read.option("wholetext", "true").text(path)
+    whole = spark.read.text(path, wholetext=True)
     return whole.select(F.posexplode(F.split(F.regexp_replace("value", r"\r?\n\z", ""), r"\r?\n")).alias("n", "value")).where("value <> ''")
 
 
