@@ -36,16 +36,25 @@ WHOLE = (
 LINK_STUB = r"https?(?::/{0,2}[^\s/]*)?$"
 
 
-def base(text: Column) -> Column:
-    """The text without white space and mark of omission at its end."""
-    return F.regexp_replace(F.regexp_replace(F.regexp_replace(text, r"\s+$", ""), BROKEN, ""), MARK, "")
+#: How much of a text its end is looked for in. Marks, terminators, links and last words are shorter; the vocabulary is made of whole texts.
+END = 400
+BLANKS = " \t\n\r\u000b\u000c\u0085\u00a0\u2028\u2029\u202f\u3000\ufeff"
+
+
+def ends(texts: DataFrame) -> DataFrame:
+    """texts (key, source, text) with front and base (the text without its end, and the end without white space and mark of omission), chars (their length), broken and mark."""
+    t = texts.withColumn("text", F.rtrim("text", F.lit(BLANKS))).withColumn("end", F.substring("text", -END, END))
+    t = t.withColumn("base", F.rtrim(F.regexp_replace(F.regexp_replace("end", BROKEN, ""), MARK, ""), F.lit(BLANKS)))
+    front = F.substring(F.col("text"), F.lit(1), F.length("text") - F.length("end"))
+    return t.select("key", "source", front.alias("front"), "base", (F.length("text") - F.length("end") + F.length("base")).alias("chars"), F.col("end").rlike(BROKEN).alias("broken"), F.col("end").rlike(MARK).alias("mark"))
 
 
 def tokens(text: Column) -> Column:
     """Tokens in order, in lower case, with the sign ¶ after each clause; a link is its host, a run of Chinese or Japanese signs its pairs of neighbours."""
-    t = F.regexp_replace(F.lower(text), r"(https?://[^\s/]+/)\S*", "$1")
-    t = F.regexp_replace(t, rf"(?<=[{CJK}]{{2}})(?=[{CJK}])", " ")
-    t = F.regexp_replace(t, rf"(?<=[{CJK}])(?=[^{CJK}\s])|(?<=[^{CJK}\s])(?=[{CJK}])", " ")
+    t = F.lower(text)
+    t = F.when(F.contains(t, F.lit("://")), F.regexp_replace(t, r"(https?://[^\s/]+/)\S*", "$1")).otherwise(t)
+    cjk = F.regexp_replace(F.regexp_replace(t, rf"(?<=[{CJK}]{{2}})(?=[{CJK}])", " "), rf"(?<=[{CJK}])(?=[^{CJK}\s])|(?<=[^{CJK}\s])(?=[{CJK}])", " ")
+    t = F.when(t.rlike(rf"[{CJK}]"), cjk).otherwise(t)
     t = F.regexp_replace(t, r"(?<![\w/:])[\"“”«»(\[*]+|[\"”»)\]*]+(?=[\s.,;!?]|$)", "")
     t = F.regexp_replace(t, r"[.!?;,…|。、！？]+(?=\s|$)|(?<=\S)[。、！？]+|\s+[./|;–—-]+\s|[\n\r]+", " ¶ ")
     return F.filter(F.split(t, r"\s+"), lambda x: x != "")
@@ -53,7 +62,7 @@ def tokens(text: Column) -> Column:
 
 def vocabulary(texts: DataFrame) -> DataFrame:
     """token, n (occurrences other than a text's last token), ends (those at the end of a clause)."""
-    arr = texts.where("base <> ''").select(tokens(F.col("base")).alias("a"))
+    arr = texts.where("base <> ''").select(tokens(F.concat("front", "base")).alias("a"))
     pairs = arr.where(F.size("a") > 1).select(F.explode(F.zip_with(F.slice("a", F.lit(1), F.size("a") - 1), F.slice("a", F.lit(2), F.size("a") - 1), lambda x, y: F.struct(x.alias("token"), (y == "¶").alias("end")))).alias("p"))
     return pairs.where("p.token <> '¶'").groupBy("p.token").agg(F.count(F.lit(1)).alias("n"), F.count_if("p.end").alias("ends"))
 
@@ -75,12 +84,11 @@ def limits(texts: DataFrame) -> DataFrame:
 
 def judged(df: DataFrame, key: str, text: str, source: str) -> DataFrame:
     """key, source and why a text counts as cut: link, word, sentence, mark or null."""
-    t = df.select(F.col(f"`{key}`").alias("key"), F.col(f"`{source}`").alias("source"), F.col(f"`{text}`").alias("text")).where(F.col("text").isNotNull())
-    t = t.select("key", "source", "text", base(F.col("text")).alias("base"))
-    t = t.withColumn("broken", F.col("text").rlike(BROKEN)).withColumn("mark", F.col("text").rlike(MARK)).withColumn("chars", F.length("base"))
+    t = ends(df.select(F.col(f"`{key}`").alias("key"), F.col(f"`{source}`").alias("source"), F.col(f"`{text}`").alias("text")).where(F.col("text").isNotNull()))
     vocab = cut(vocabulary(t))
     nodes = trie(vocab)
     whole = F.col("base").rlike(WHOLE) & ~F.col("base").rlike(LINK_STUB)
+    t = t.drop("front")
     open_ = t.where((F.col("base") != "") & ~whole).withColumn("token", F.element_at(F.filter(tokens(F.col("base")), lambda x: x != "¶"), -1))
     finals = open_.select("token").distinct()
     seen = finals.join(vocab, "token", "left").join(nodes.withColumnRenamed("node", "token"), "token", "left").select("token", F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("ends", F.lit(0)).alias("ends"), F.coalesce("below", F.lit(0)).alias("below"))
