@@ -135,4 +135,4 @@ def radix_sum(parts: DataFrame, at_once: int = AT_ONCE) -> DataFrame:
 def marked(totals: DataFrame, all_records: DataFrame, rare_below: int = 3, common_over: float = 0.2) -> DataFrame:
     """totals with a mark: rare in fewer than rare_below records, common in more than that share of all (one row, column all_records), else null.
     A term that is both, as may be in a tiny table, is rare."""
-    return totals.crossJoin(F.broadcast(all_records)).withColumn("mark", F.when(F.col("records") < rare_below, "rare").when(F.col("records") > common_over * F.col("all_records"), "common"))
+    return totals.withColumn("all_records", all_records.scalar()).withColumn("mark", F.when(F.col("records") < rare_below, "rare").when(F.col("records") > common_over * F.col("all_records"), "common"))

@@ -118,4 +118,5 @@ def reached(mixed: DataFrame, docs: DataFrame, targets: DataFrame, source: str,
     got = mixed.groupBy("source").agg(F.sum(F.col("tokens") * F.col("copies")).alias("tokens_mixed"), F.max("copies").alias("most_copies"))
     out = targets.where("source is not null").join(have, "source", "left").join(got, "source", "left").fillna(0, ["documents", "tokens_available", "tokens_mixed", "most_copies"])
     every = got.agg(F.sum("tokens_mixed").alias("every"))
-    return out.crossJoin(F.broadcast(every)).select("source", "target_share", "max_repeats", "documents", "tokens_available", "tokens_mixed", "most_copies", F.coalesce(F.col("tokens_mixed") / F.col("every"), F.lit(0.0)).alias("actual_share"))
+    share = F.coalesce(F.col("tokens_mixed") / every.scalar(), F.lit(0.0)).alias("actual_share")
+    return out.select("source", "target_share", "max_repeats", "documents", "tokens_available", "tokens_mixed", "most_copies", share)
