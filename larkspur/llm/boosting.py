@@ -19,7 +19,10 @@ class Trees:
         n, f = x.shape
         w = np.ones(n) if w is None else w
         self.cuts = [np.unique(np.quantile(x[:, j], np.linspace(0, 1, self.bins + 1)[1:-1])) if n else np.zeros(0) for j in range(f)]
+        wide = max((len(c) for c in self.cuts), default=0) + 1
         b = np.stack([np.searchsorted(c, x[:, j], side="left") for j, c in enumerate(self.cuts)], 1) if f else np.zeros((n, 0), int)
+        place = (b + np.arange(f) * wide).astype(np.int64)  # each row's bin of each feature, features one after the other
+        there = np.array([[k < len(c) for k in range(wide)] for c in self.cuts]).reshape(f, wide)  # bins with a cut above them
         p = np.clip(np.average(y, weights=w) if n else 0.5, 0.01, 0.99)
         self.base = float(np.log(p / (1 - p)))
         score, inner = x[:, 0].astype(float) if self.prior else np.full(n, self.base), 2**self.depth - 1
@@ -28,30 +31,24 @@ class Trees:
             p = 1 / (1 + np.exp(-score))
             g, h = w * (y - p), w * p * (1 - p)
             feature, cut, at = np.zeros(inner, np.int32), np.full(inner, np.inf), np.zeros(n, np.int64)
-            for node in range(inner):
-                here = np.flatnonzero(at == node)
-                best = (1e-6, -1, -1)
-                if len(here) > 1:
-                    gs, hs, total_g, total_h, total_w = g[here], h[here], g[here].sum(), h[here].sum(), w[here].sum()
-                    for j in range(f):
-                        k = len(self.cuts[j])
-                        if not k:
-                            continue
-                        bj = b[here, j]
-                        gl, hl, wl = (np.cumsum(np.bincount(bj, v, k + 1))[:-1] for v in (gs, hs, w[here]))
-                        gain = gl**2 / (hl + self.ridge) + (total_g - gl) ** 2 / (total_h - hl + self.ridge) - total_g**2 / (total_h + self.ridge)
-                        gain[(wl < self.leaf) | (total_w - wl < self.leaf)] = -1
-                        i = int(gain.argmax())
-                        if gain[i] > best[0]:
-                            best = (gain[i], j, i)
-                if best[1] >= 0:
-                    feature[node], cut[node] = best[1], self.cuts[best[1]][best[2]]
-                    at[here] = 2 * node + 1 + (b[here, best[1]] > best[2])
-                else:
-                    at[here] = 2 * node + 1
+            for d in range(self.depth):
+                # The sums of a level's nodes, features and bins at once.
+                nodes = 2**d
+                key = ((at - (nodes - 1))[:, None] * (f * wide) + place).ravel()
+                gl, hl, wl = (np.cumsum(np.bincount(key, np.repeat(v, f), nodes * f * wide).reshape(nodes, f, wide), axis=2) for v in (g, h, w))
+                gt, ht, wt = gl[:, :, -1:], hl[:, :, -1:], wl[:, :, -1:]
+                gain = gl**2 / (hl + self.ridge) + (gt - gl) ** 2 / (ht - hl + self.ridge) - gt**2 / (ht + self.ridge)
+                gain[(wl < self.leaf) | (wt - wl < self.leaf) | ~there] = -1
+                best = gain.reshape(nodes, -1).argmax(1)
+                split = gain.reshape(nodes, -1)[np.arange(nodes), best] > 1e-6
+                j, k = best // wide, best % wide
+                for m in np.flatnonzero(split):
+                    feature[nodes - 1 + m], cut[nodes - 1 + m] = j[m], self.cuts[j[m]][k[m]]
+                own = at - (nodes - 1)
+                at = 2 * at + 1 + (split[own] & (b[np.arange(n), j[own]] > k[own]))
             leaves = at - inner
-            gl, hl = np.bincount(leaves, g, inner + 1), np.bincount(leaves, h, inner + 1)
-            value = self.rate * gl / (hl + self.ridge)
+            gs, hs = np.bincount(leaves, g, inner + 1), np.bincount(leaves, h, inner + 1)
+            value = self.rate * gs / (hs + self.ridge)
             score = score + value[leaves]
             self.feature.append(feature)
             self.cut.append(cut)
