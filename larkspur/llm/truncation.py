@@ -62,8 +62,10 @@ def tokens(text: Column) -> Column:
 
 def vocabulary(texts: DataFrame) -> DataFrame:
     """token, n (occurrences other than a text's last token), ends (those at the end of a clause)."""
-    arr = texts.where("base <> ''").select(tokens(F.concat("front", "base")).alias("a"))
-    pairs = arr.where(F.size("a") > 1).select(F.explode(F.zip_with(F.slice("a", F.lit(1), F.size("a") - 1), F.slice("a", F.lit(2), F.size("a") - 1), lambda x, y: F.struct(x.alias("token"), (y == "¶").alias("end")))).alias("p"))
+    # No filter on the array: it would be pushed below and the tokens be made twice.
+    arr = texts.select(tokens(F.concat("front", "base")).alias("a"))
+    n = F.greatest(F.size("a") - 1, F.lit(0))
+    pairs = arr.select(F.explode(F.zip_with(F.slice("a", F.lit(1), n), F.slice("a", F.lit(2), n), lambda x, y: F.struct(x.alias("token"), (y == "¶").alias("end")))).alias("p"))
     return pairs.where("p.token <> '¶'").groupBy("p.token").agg(F.count(F.lit(1)).alias("n"), F.count_if("p.end").alias("ends"))
 
 
@@ -87,19 +89,23 @@ def judged(df: DataFrame, key: str, text: str, source: str) -> DataFrame:
     t = ends(df.select(F.col(f"`{key}`").alias("key"), F.col(f"`{source}`").alias("source"), F.col(f"`{text}`").alias("text")).where(F.col("text").isNotNull()))
     vocab = cut(vocabulary(t))
     nodes = trie(vocab)
-    whole = F.col("base").rlike(WHOLE) & ~F.col("base").rlike(LINK_STUB)
-    t = t.drop("front")
-    open_ = t.where((F.col("base") != "") & ~whole).withColumn("token", F.element_at(F.filter(tokens(F.col("base")), lambda x: x != "¶"), -1))
-    finals = open_.select("token").distinct()
+    # What the rest needs of each text, once: its end's regular expressions cost more than all that follows.
+    base = F.col("base")
+    state = F.when(base == "", "none").when(base.rlike(LINK_STUB), "stub").when(base.rlike(WHOLE), "whole").otherwise("open")
+    t = t.select("key", "source", "chars", "broken", "mark", state.alias("state"), "base")
+    last = F.element_at(F.filter(tokens(base), lambda x: x != "¶"), -1)
+    t = cut(t.select("key", "source", "chars", "broken", "mark", "state", F.when(F.col("state") == "open", last).alias("token")))
+    open_ = t.where("state in ('open', 'stub')")
+    finals = open_.where("token is not null").select("token").distinct()
     seen = finals.join(vocab, "token", "left").join(nodes.withColumnRenamed("node", "token"), "token", "left").select("token", F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("ends", F.lit(0)).alias("ends"), F.coalesce("below", F.lit(0)).alias("below"))
     lim = limits(t)
     j = open_.join(seen, "token", "left").alias("t").join(lim.alias("l"), (F.col("t.chars") == F.col("l.chars")) & F.col("t.source").eqNullSafe(F.col("l.source")), "left")
     bound = F.greatest(F.lit(ENDS), F.when(F.col("limit"), F.lit(ENDS_LIMIT)).otherwise(0.0), F.when(F.col("mark"), F.lit(ENDS_MARK)).otherwise(0.0))
     why = (
-        F.when(F.col("base").rlike(LINK_STUB), "link")
+        F.when(F.col("state") == "stub", "link")
         .when((F.col("n") < KNOWN) & (F.col("below") > 0), "word")
         .when((F.col("n") >= KNOWN) & ((F.col("ends") + 0.5) / (F.col("n") + 1.0) < bound), "sentence")
         .when(F.col("broken"), "mark")
     )
-    rest = t.where((F.col("base") == "") | whole).select("key", "source", F.when(F.col("broken"), "mark").alias("why"), F.lit(None).cast("string").alias("token"), F.lit(0).cast("bigint").alias("n"), F.lit(0).cast("bigint").alias("ends"), F.lit(0).cast("bigint").alias("below"), F.lit(None).cast("boolean").alias("limit"), "mark")
+    rest = t.where("state in ('none', 'whole')").select("key", "source", F.when(F.col("broken"), "mark").alias("why"), *[F.lit(None).cast(k).alias(c) for c, k in (("token", "string"), ("n", "bigint"), ("ends", "bigint"), ("below", "bigint"), ("limit", "boolean"))], "mark")
     return j.select("key", F.col("t.source").alias("source"), why.alias("why"), "token", "n", "ends", "below", "limit", "mark").unionByName(rest)
