@@ -28,7 +28,7 @@ PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\
 #: How far the pattern looks from the start of a piece, at most, before the piece ends inside a text.
 LOOK = 3
 #: Characters of the rolling hash, bits that are zero at a cut (chunks have 2**BITS characters on average), least and most characters of a chunk.
-WINDOW, BITS, LEAST, MOST = 12, 6, 24, 1024
+WINDOW, BITS, LEAST, MOST = 12, 7, 32, 1024
 #: Pieces whose ids a task holds.
 HELD = 200_000
 
@@ -44,6 +44,7 @@ class Encoder:
             ranks = {base64.b64decode(a): int(b) for a, b in (line.split() for line in f if line.strip())}
         self.split = regex.compile(PATTERN).finditer
         self.bpe = tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+        self.wide = "<u2" if len(ranks) <= 1 << 16 else "<u4"
         self.known: dict[str, list[int]] = {}
 
     def piece(self, s: str) -> list[int]:
@@ -114,18 +115,31 @@ def chunked(df: DataFrame, key: str, text: str) -> DataFrame:
     return d.mapInArrow(run, f"key {d.schema['key'].dataType.simpleString()}, t bigint, ord int, chunk string")
 
 
+def packed(values: list[int], wide: str) -> bytes:
+    import numpy as np
+
+    return np.array(values, wide).tobytes()
+
+
+def unpacked(data: bytes, wide: str) -> list[int]:
+    import numpy as np
+
+    return np.frombuffer(data, wide).tolist()
+
+
 def encoded_chunks(chunks: DataFrame, path: str) -> DataFrame:
-    """chunk, starts, before, ids of distinct chunks."""
+    """chunk and, packed, starts, before and ids of distinct chunks. Places in a chunk have two bytes (MOST is less), ids two or four. The chunk itself needn't travel on: its ids say it."""
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        e, ints = Encoder(path), pa.list_(pa.int32())
+        e = Encoder(path)
         for b in batches:
             found = [e.chunk(x) for x in b.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(0), *[pa.array([f[k] for f in found], ints) for k in range(3)]], names=["chunk", "starts", "before", "ids"])
+            columns = [pa.array([packed(f[k], "<u2" if k < 2 else e.wide) for f in found], pa.binary()) for k in range(3)]
+            yield pa.RecordBatch.from_arrays([b.column(0), *columns], names=["chunk", "starts", "before", "ids"])
 
-    return chunks.select("chunk").distinct().mapInArrow(run, "chunk string, starts array<int>, before array<int>, ids array<int>")
+    return chunks.select("chunk").distinct().mapInArrow(run, "chunk string, starts binary, before binary, ids binary")
 
 
 def joined(e: Encoder, parts: list[tuple[str, list[int], list[int], list[int]]]) -> list[int]:
@@ -170,8 +184,8 @@ def encode(df: DataFrame, key: str, text: str, path: str = f"{TOKENIZERS}/{VOCAB
     """key and ids of every text."""
     both = [F.xxhash64(F.lit(1), F.col("chunk")).alias("h1"), F.xxhash64(F.lit(2), F.col("chunk")).alias("h2")]
     chunks = chunked(df, key, text)
-    dictionary = encoded_chunks(chunks, path).select(*both, "chunk", "starts", "before", "ids")
-    rows = chunks.select("key", "t", "ord", *both).join(dictionary, ["h1", "h2"]).select("key", "t", "ord", "chunk", "starts", "before", "ids")
+    dictionary = encoded_chunks(chunks, path).select(*both, "starts", "before", "ids")
+    rows = chunks.select("key", "t", "ord", *both).join(dictionary, ["h1", "h2"]).select("key", "t", "ord", "starts", "before", "ids")
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
@@ -187,14 +201,15 @@ def encode(df: DataFrame, key: str, text: str, path: str = f"{TOKENIZERS}/{VOCAB
         kind = held = None
         for b in batches:
             kind = b.schema.field(0).type
-            for k, t, o, *chunk in zip(*[b.column(i).to_pylist() for i in range(7)], strict=True):
+            for k, t, o, starts, before, ids in zip(*[b.column(i).to_pylist() for i in range(6)], strict=True):
                 if (k, t) != now:
                     if parts:
                         keys.append(now[0])
                         out.append(joined(e, parts))
                     now, parts, held = (k, t), [], -1
                 if o != held:  # rows equal in key and text
-                    parts.append(tuple(chunk))
+                    ids = unpacked(ids, e.wide)
+                    parts.append((e.bpe.decode_bytes(ids).decode(), unpacked(starts, "<u2"), unpacked(before, "<u2"), ids))
                     held = o
                 if len(out) >= 2000:
                     yield flush()
