@@ -58,7 +58,7 @@ CUES = {
 }
 CUE_SETS = {k: frozenset(v.split()) for k, v in CUES.items()}
 
-EMAIL = re.compile(r"(?<![\w@/])[^\W_](?:[\w.+%-]*\w)?(?:@|\s?[\[({]\s?at\s?[\])}]\s?|\sat\s)(?:[^\W_][\w-]*(?:\.|\s?[\[({]\s?dot\s?[\])}]\s?|\sdot\s))+[^\W\d_]{2,}(?![\w@])", re.I)
+EMAIL = re.compile(r"(?<![\w@/])[^\W_](?:[\w.+%-]*\w)?(?:@|\s@\s|\s?[\[({]\s?at\s?[\])}]\s?|\sat\s)(?:[^\W_][\w-]*(?:\.|\s?[\[({]\s?dot\s?[\])}]\s?|\sdot\s))+[^\W\d_]{2,}(?![\w@])", re.I)
 DIGITS = re.compile(r"(?<![\w.,:/#@-])(?:\+|\(\+?|00)?\d(?:[\d()]|[ .\-/](?=[\d(])|[ ](?=\())*\d(?:[ -]?[A-Za-z](?![\w]))?(?![\w@]|[.,:/]\d)")
 ALNUM = re.compile(r"(?<![\w/#@.])(?=[A-Za-z0-9 -]*\d)(?:[A-Za-z]{1,3}\d[A-Za-z0-9]{5,9}|[A-Za-z]{2}(?: ?\d{2}){3} ?[A-Za-z]|[A-Za-z]{3} ?[A-Za-z]{3} ?\d{2}[A-Za-z]\d{2} ?[A-Za-z]\d{3}[A-Za-z]|[A-Za-z]-?\d{7}-?[A-Za-z]|\d{1,2}[A-Z]\d[A-Z0-9]{4,9}|[A-Z]\d[A-Z0-9]{7,8})(?![\w@])")
 WAY_EN = r"(?:street|st|road|rd|lane|ln|drive|dr|avenue|ave|court|ct|way|close|crescent|terrace|square|place|boulevard|blvd|row|hill|walk|gardens|grove)"
@@ -215,7 +215,7 @@ def generated(n: int = 4000, seed: int = 7) -> list[tuple[str, list[tuple[int, i
             around, gold = r.choice(AROUND_NAME), "name"
         elif kind == "email":
             a, b = r.choice(given), r.choice(FAMILIES).lower().replace("'", "")
-            dot, at = r.choice([(".", "@"), (".", "@"), (" dot ", " at "), ("[dot]", "[at]"), ("(dot)", "(at)")])
+            dot, at = r.choice([(".", "@"), (".", "@"), (".", " @ "), (" dot ", " at "), ("[dot]", "[at]"), ("(dot)", "(at)")])
             item = r.choice([f"{a}.{b}", f"{b}_{a}", f"{a}{r.randrange(99)}", f"{a}+shop", f"{a}-{b}"]) + at + r.choice(["mail", "post-box", "mail" + dot + "tern"]) + dot + r.choice(["example", "test", "com", "org", "invalid"])
             around, gold = r.choice(["write to {} if you find it", "schreib an {}, wenn", "écris à {} si", "scrivi a {}", "su correo es {}", "DM or {} for the tickets", "{}"]), "email"
         elif kind == "no_street":
