@@ -117,7 +117,7 @@ def candidates(x: str) -> list[tuple[int, int, str]]:
             out += [(m.start(), m.end(), "address") for m in p.finditer(x)]
     for m in WORD.finditer(x):
         w = m[0].lower()
-        if (w in GIVEN or (not w.isascii() and strip(w) in GIVEN)) and (m.start() == 0 or x[m.start() - 1] not in "@#/.+_-"):
+        if (w in GIVEN or (not w.isascii() and strip(w) in GIVEN)) and (m.start() == 0 or x[m.start() - 1] not in ("@#/.+_-'’" if m[0].islower() else "@#/.+_-")):
             f = FAMILY.match(x, m.end())
             if f and f[3].lower() not in COMMON:
                 out.append((m.start(), f.end(), "name"))
