@@ -52,7 +52,7 @@ def _frequencies(spark: SparkSession, sf_dir: str) -> DataFrame:
         "tweets.text": (frequency.count_words(tweets.select("tweet_id", "text").dropDuplicates(["tweet_id"])), tweets.select(F.count_distinct("tweet_id").alias("all_records"))),
         "simple_term.pos": (frequency.count_values(terms, "doc_id", "pos"), terms.select(F.count_distinct("doc_id").alias("all_records"))),
     }
-    return None if not fields else _union([frequency.marked(frequency.radix_sum(parts), n).select(F.lit(f).alias("field"), "term", "occurrences", "records", "mark") for f, (parts, n) in fields.items()])
+    return _union([frequency.marked(frequency.radix_sum(parts), n).select(F.lit(f).alias("field"), "term", "occurrences", "records", "mark") for f, (parts, n) in fields.items()])
 
 
 def _union(parts: list[DataFrame]) -> DataFrame:
