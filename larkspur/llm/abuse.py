@@ -5,7 +5,8 @@ out, drawn out or starred); each sentence is then searched once for all lexicons
 (word sequences with high or low odds); the features are the strongest sentence's lexicon densities, how near the second person or a group of people
 stands, and the text's capitals, punctuation and disguises.
 
-The labelled sample is bounded (MOST_LABELS) and is all that training reads; every text is scored whole.
+Training reads bounded samples of labelled and unlabelled texts (MOST_LABELS, MOST_UNLABELLED); every text is scored whole, and the share of cases, which
+moves all scores, comes from the scores of all texts.
 
 Defined cases: null and empty texts have score 0; repeated rows get equal scores; without any label the fixed lexicons alone decide.
 """
@@ -18,16 +19,19 @@ from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from larkspur.llm.boosting import Calibrated
 from larkspur.llm.chars import invisible, plain
 from larkspur.llm.sample import bounded
+from larkspur.session import cut
 
-#: Labelled texts to learn from, and unlabelled ones to learn the background and the share of cases from, at most.
+#: Labelled texts to learn from, and unlabelled ones to learn the background from, at most.
 MOST_LABELS, MOST_UNLABELLED = 8_000, 6_000
 THRESHOLD = 0.5
+#: The least score (and the greatest, less than 1 by as much) before scores are moved, and the width of the bins in which all texts' log odds are counted: some 12,000 bins, however many texts.
+LEAST, BIN = 0.002, 0.001
 
 # Word beginnings (with -) and whole words or phrases, without accents, by kind of language.
 LEXICON = {
@@ -260,21 +264,31 @@ class Model:
         self.rate = float(np.average(y[some], weights=w[some]))
 
 
-def prevalence(p: np.ndarray, sample_rate: float) -> float:
-    """The share of cases among all texts, from their calibrated scores: the labelled sample's share is another (expectation maximisation)."""
-    p, r, share = np.clip(p, 0.002, 0.998), min(max(sample_rate, 0.01), 0.99), sample_rate
+def prevalence(p: np.ndarray, n: np.ndarray, sample_rate: float) -> float:
+    """The share of cases among all texts, from their calibrated scores p, each standing for n texts: the labelled sample's share is another (expectation maximisation)."""
+    share = sample_rate
     for _ in range(50):
-        share = min(max(float(shifted(p, r, share).mean()), 0.002), 0.9)
+        share = min(max(float(np.average(shifted(p, sample_rate, share), weights=n)), 0.002), 0.9)
     return share
 
 
-def shifted(p: np.ndarray, sample_rate: float, share: float) -> np.ndarray:
-    """Scores calibrated on the sample, for a population with another share of cases."""
-    p, r = np.clip(p, 0.002, 0.998), min(max(sample_rate, 0.01), 0.99)
-    a, b = p * share / r, (1 - p) * (1 - share) / (1 - r)
+def shifted(p: np.ndarray | Column, sample_rate: float, share: float) -> np.ndarray | Column:
+    """Scores of LEAST to 1 - LEAST calibrated on the sample, for a population with another share of cases."""
+    r = min(max(sample_rate, 0.01), 0.99)
+    a, b = p * (share / r), (1 - p) * ((1 - share) / (1 - r))
     return a / (a + b)
 
 
+def share_of_cases(scored: DataFrame, sample_rate: float) -> float:
+    """The share of cases among all keys with a text, of scored's key and calibrated score p (null without text). Redelivered rows, which score alike, count once."""
+    one = scored.where("p is not null").select("key", F.round(F.ln(F.col("p") / (1 - F.col("p"))) / BIN).cast("int").alias("bin")).distinct()
+    bins = sorted(map(tuple, one.groupBy("bin").agg(F.count(F.lit(1)).alias("n")).collect()))
+    if not bins:
+        return sample_rate
+    at, n = np.array(bins, float).T
+    return prevalence(1 / (1 + np.exp(-at * BIN)), n, sample_rate)
+
+
 def score(tweets: DataFrame, labels: DataFrame, key: str = "tweet_id", text: str = "text", harmless: str = "none") -> DataFrame:
     """key, source and score of every row. labels: key and label, harmless being the label of a text without such language."""
     l = labels.select(F.col(key).alias("k"), (F.col("label") != harmless).alias("bad"))
@@ -284,20 +298,19 @@ def score(tweets: DataFrame, labels: DataFrame, key: str = "tweet_id", text: str
     texts = own.join(F.broadcast(l.select("k").distinct()), "k", "left_semi").dropDuplicates(["k"])  # MOST_LABELS keys at most
     rows = [(r["t"], r["bad"]) for r in l.join(texts, "k").select("t", "bad", F.xxhash64("k", "bad").alias("h")).orderBy("h", "t").collect()]
     model = Model(rows, [r["t"] for r in bounded(own, ["k", "t"], MOST_UNLABELLED)] if rows else [])
-    some = [r["t"] for r in bounded(own, ["t", "k"], MOST_UNLABELLED)] if rows else []
-    share = prevalence(model.model(Features(model.weights)(some)), model.rate) if some else model.rate
-    held = tweets.sparkSession.sparkContext.broadcast((model.weights, model.model, model.rate, share))  # at most 4000 word sequences and 50 trees
+    held = tweets.sparkSession.sparkContext.broadcast((model.weights, model.model))  # at most 4000 word sequences and 50 trees
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        weights, model, rate, share = held.value
+        weights, model = held.value
         features = Features(weights)
         for b in batches:
             texts = b.column(b.num_columns - 1).to_pylist()
-            s = shifted(model(features(texts)), rate, share)
-            empty = np.array([not t for t in texts], bool)
-            yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(np.where(empty, 0.0, s))], names=[*b.schema.names[:-1], "score"])
+            p = np.clip(model(features(texts)), LEAST, 1 - LEAST)
+            yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(p, mask=np.array([not t for t in texts], bool))], names=[*b.schema.names[:-1], "p"])
 
     d = tweets.select(F.col(key).alias("key"), "source", F.col(text).alias("text"))
-    return d.mapInArrow(run, f"key {d.schema['key'].dataType.simpleString()}, source string, score double")
+    scored = cut(d.mapInArrow(run, f"key {d.schema['key'].dataType.simpleString()}, source string, p double"))  # read twice: for the share and for the scores
+    share = share_of_cases(scored, model.rate) if rows else model.rate
+    return scored.select("key", "source", F.coalesce(shifted(F.col("p"), model.rate, share), F.lit(0.0)).alias("score"))

@@ -43,6 +43,17 @@ def test_no_labels_and_no_tweets(spark):
     assert abuse.score(tweets.limit(0), labels).count() == 0
 
 
+def test_share_of_cases_comes_from_all_tweets(spark, monkeypatch):
+    # The mean score of all tweets is the share that the scores were moved to: so not from a sample, and no redelivered row counts twice.
+    shares, real = [], abuse.prevalence
+    monkeypatch.setattr(abuse, "prevalence", lambda *a: shares.append(real(*a)) or shares[-1])
+    monkeypatch.setattr(abuse, "MOST_UNLABELLED", 40)
+    rows, tweets, labels = tables(spark)
+    again = spark.createDataFrame([x[:3] for x in rows if x[3]] * 3, tweets.schema)
+    got = {r["key"]: r["score"] for r in abuse.score(tweets.unionByName(again), labels).collect()}
+    assert len(got) == len(rows) and abs(np.mean(list(got.values())) - shares[0]) < 0.002
+
+
 def test_trees_and_isotonic():
     g = np.random.default_rng(0)
     x = g.normal(size=(800, 3)).astype(np.float32)
