@@ -8,8 +8,8 @@ Nothing is gathered: a group is a smallest key, a count and no list, so its size
 The canonical form keeps letters, digits and accents, in lower case, characters that look alike being one; named fields (name: value or
 name = value, separated by a sign or line end) are put in alphabetical order.
 
-Defined cases: null texts and texts without letter or digit have no canonical form and are left out (counted by none); an empty table gives an
-empty result; equal rows of one key count once.
+Defined cases: null texts are left out (counted by none); texts without letter or digit, empty ones too, have no canonical form and are left out unless
+asked for (bare), and are then copies of byte-identical texts only; an empty table gives an empty result; equal rows of one key count once.
 """
 
 from __future__ import annotations
@@ -61,21 +61,28 @@ def _hashes(c: str, a: str, b: str) -> list:
     return [F.xxhash64(F.lit(1), F.col(c)).alias(a), F.xxhash64(F.lit(2), F.col(c)).alias(b)]
 
 
-def _collapsed(df: DataFrame, key: str, text: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+def _collapsed(df: DataFrame, key: str, text: str, bare: bool = False) -> tuple[DataFrame, DataFrame, DataFrame]:
     """ids: the rows as (key, t1, t2); texts: every distinct text as (t1, t2, c1, c2, n); groups: every canonical text as (c1, c2, root, copies).
     t and c are hashes of the whole text and the whole canonical text."""
-    raw = df.where(F.col(f"`{text}`").rlike("[\\p{L}\\p{Nd}]") & F.col(f"`{key}`").isNotNull()).select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("text"))
+    formed = F.col(f"`{text}`").rlike("[\\p{L}\\p{Nd}]")
+    raw = df.where((F.col(f"`{text}`").isNotNull() if bare else formed) & F.col(f"`{key}`").isNotNull()).select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("text"))
     ids = raw.select("key", *_hashes("text", "t1", "t2")).distinct()
     n = ids.groupBy("t1", "t2").agg(F.count(F.lit(1)).alias("n"), F.min("key").alias("first_key"))
     distinct = raw.select("text").distinct().select("text", *_hashes("text", "t1", "t2"))
-    canon = map_sql(distinct, canonical_sql("t1, t2, "), "t1 bigint, t2 bigint, canon string").select("t1", "t2", *_hashes("canon", "c1", "c2"))
+    if bare:
+        # A text without canonical form is its own: it holds no letter or digit, so it equals no other's.
+        canon = map_sql(distinct, canonical_sql("t1, t2, text, "), "t1 bigint, t2 bigint, text string, canon string")
+        canon = canon.withColumn("canon", F.when(F.col("text").rlike("[\\p{L}\\p{Nd}]") & (F.col("canon") != ""), F.col("canon")).otherwise(F.col("text")))
+    else:
+        canon = map_sql(distinct, canonical_sql("t1, t2, "), "t1 bigint, t2 bigint, canon string")
+    canon = canon.select("t1", "t2", *_hashes("canon", "c1", "c2"))
     texts = cut(canon.join(n, ["t1", "t2"]))
     return ids, texts, texts.groupBy("c1", "c2").agg(F.min("first_key").alias("root"), F.sum("n").alias("copies"))
 
 
-def one_per_text(df: DataFrame, key: str, text: str = "text") -> DataFrame:
-    """The collapsed records: the smallest key of each canonical text (root), and how many keys have it (copies)."""
-    return _collapsed(df, key, text)[2].select("root", "copies")
+def one_per_text(df: DataFrame, key: str, text: str = "text", bare: bool = False) -> DataFrame:
+    """The collapsed records: the smallest key of each canonical text (root), and how many keys have it (copies). bare: texts without letter or digit too."""
+    return _collapsed(df, key, text, bare)[2].select("root", "copies")
 
 
 def copy_links(df: DataFrame, key: str, text: str = "text") -> DataFrame:

@@ -29,8 +29,9 @@ def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def p5_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each canonical text's record and number of copies."""
-    return copies.one_per_text(own_tweets(spark, sf_dir), "tweet_id").select(F.col("root").alias("tweet_id"), "copies")
+    """Each text's record and number of copies, retweets and texts without letter or digit too."""
+    t = table(spark, sf_dir, "tweets").where("tweet_id is not null and text is not null").select("tweet_id", "text")
+    return copies.one_per_text(t, "tweet_id", bare=True).select(F.col("root").alias("tweet_id"), "copies")
 
 
 @query

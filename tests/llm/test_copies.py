@@ -55,3 +55,11 @@ def test_hot_text(spark):
 def test_empty(spark):
     assert copies.copy_links(frame(spark, []), "id").count() == 0
     assert copies.copy_links(spark.createDataFrame([(1, "x" * 200_000, "a", 1), (2, "X" * 200_000 + "!", "b", 2)], "id bigint, text string, canon string, t1 int"), "id").collect() == [(1, 2)]
+
+
+def test_copies_of_every_text(spark, tmp_path):
+    from larkspur.llm.queries import p5_copies
+
+    rows = [(1, "RT @a: so it is", {"text": "so it is"}), (2, "rt @a so it is!", None), (3, "...", None), (4, "...", None), (4, "...", None), (5, "..", None), (6, "", None), (7, None, None), (8, "🔥", {"text": "🔥"}), (9, "ㅤ", None)]
+    spark.createDataFrame(rows, "tweet_id bigint, text string, retweeted_status struct<text: string>").write.parquet(str(tmp_path / "tweets.parquet"))
+    assert sorted(map(tuple, p5_copies(spark, str(tmp_path)).collect())) == [(1, 2), (3, 2), (5, 1), (6, 1), (8, 1), (9, 1)]
