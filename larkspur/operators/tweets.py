@@ -20,14 +20,34 @@ def parse_tweets(df: DataFrame, value: str = "value", depth: int = DEPTH) -> Dat
     return df.withColumn("tweet", t).withColumn("id", F.col("tweet.user.id").try_cast("bigint")).where("id is not null")
 
 
+def _plain(x: Column) -> Column:
+    return F.when(x.isNotNull(), F.struct(x["user"]["id"].try_cast("bigint").alias("user_id"), x["text"].alias("text"), x["lang"].alias("lang"), x["entities"].alias("entities")))
+
+
+def _last(rest: Column) -> Column:
+    """The tweet at the end of the chain that begins with the JSON rest, however long it is; null if rest is no object."""
+
+    def below(x: Column) -> Column:
+        there = F.from_json(x, "retweeted_status STRUCT<text:STRING>", OPTIONS)["retweeted_status"].isNotNull()
+        return F.when(there, F.from_json(x, "retweeted_status STRING", OPTIONS)["retweeted_status"])
+
+    # Every level has a brace, so there are no more levels than braces.
+    braces = F.length(rest) - F.length(F.replace(rest, F.lit("{")))
+    first = below(F.concat(F.lit('{"retweeted_status":'), rest, F.lit("}")))
+    last = F.aggregate(F.array_repeat(F.lit(0), braces.cast("int")), first, lambda x, _: F.coalesce(below(x), x))
+    return F.transform(F.array(F.from_json(last, tweet(0), OPTIONS)), _plain)[0]
+
+
 def innermost(t: Column, depth: int = DEPTH) -> Column:
-    """The tweet at the end of the chain of retweets, as struct<user_id, text, lang, entities>."""
+    """The tweet at the end of the chain of retweets, as struct<user_id, text, lang, entities>. depth: the levels that t has as types."""
     levels = []
     for k in range(depth, -1, -1):
         x = t
         for _ in range(k):
             x = x["retweeted_status"]
-        levels.append(F.when(x.isNotNull(), F.struct(x["user"]["id"].try_cast("bigint").alias("user_id"), x["text"].alias("text"), x["lang"].alias("lang"), x["entities"].alias("entities"))))
+        if k == depth:
+            levels.append(F.when(x["retweeted_status"].isNotNull(), _last(x["retweeted_status"])))
+        levels.append(_plain(x))
     return F.coalesce(*levels)
 
 

@@ -9,11 +9,11 @@ TERMS = "ARRAY<STRUCT<form:STRING,morphofeat:STRING,refs:ARRAY<STRUCT<resource:S
 PREDICATES = "ARRAY<STRUCT<framenet:STRING,roles:ARRAY<STRUCT<framenet:STRING,str:STRING>>>>"
 DOC = f"doc_id BIGINT, raw_text STRING, terms {TERMS}, predicates {PREDICATES}"
 
-#: Retweet levels that are read below a tweet; deeper ones are dropped.
+#: Retweet levels below a tweet that are read as types; what is below them stays JSON until it is unwrapped.
 DEPTH = 4
 
 
 def tweet(depth: int = DEPTH) -> str:
     """A tweet as Spark type; user.id as a string, since numbers and strings of digits both count."""
-    inner = f",retweeted_status:{tweet(depth - 1)}" if depth else ""
-    return f"STRUCT<user:STRUCT<id:STRING>,text:STRING,lang:STRING,entities:{ENTITIES}{inner}>"
+    inner = tweet(depth - 1) if depth else "STRING"
+    return f"STRUCT<user:STRUCT<id:STRING>,text:STRING,lang:STRING,entities:{ENTITIES},retweeted_status:{inner}>"

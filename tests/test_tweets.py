@@ -39,6 +39,19 @@ def test_filter(spark):
     assert W.filter_tweets(W.parse_tweets(lines(spark))).count() == 10
 
 
+def test_retweets_of_any_depth(spark):
+    def nested(n, inner):
+        for k in range(n):
+            inner = f'{{"user":{{"id":{k}}},"text":"{k}","lang":"fr","retweeted_status":{inner}}}'
+        return inner
+
+    end = '{"user":{"id":99},"text":"the \\"end\\" {","lang":"en","entities":{"media":[{"indices":[0,1]}]}%s}'
+    rows = [(n, nested(n, end % more)) for n in (1, 4, 5, 6, 9, 40) for more in ("", ',"retweeted_status":null', ',"retweeted_status":[{"text":"no"}]', ',"retweeted_status":"no"')]
+    rows += [(7, nested(7, end % "").replace('"', "'").replace("\\'", '\\"').replace("'retweeted_status'", "retweeted_status"))]
+    got = W.filter_tweets(W.parse_tweets(spark.createDataFrame(rows, "n int, value string")), ["en"]).select("n", "tweet.*").collect()
+    assert len(got) == len(rows) and all((r["user_id"], r["text"], r["lang"], r["entities"]["media"][0]["indices"]) == (99, 'the "end" {', "en", [0, 1]) for r in got)
+
+
 def test_images(spark):
     assert [r["id"] for r in W.with_images(W.filter_tweets(W.parse_tweets(lines(spark)))).collect()] == [10]
 
