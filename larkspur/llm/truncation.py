@@ -36,15 +36,17 @@ WHOLE = (
 LINK_STUB = r"https?(?::/{0,2}[^\s/]*)?$"
 
 
-#: How much of a text its end is looked for in. Marks, terminators, links and last words are shorter; the vocabulary is made of whole texts.
+#: How much of a text its end is looked for in. Where this holds no white space before a mark, the last word may be longer, and the whole text is taken.
 END = 400
 BLANKS = " \t\n\r\u000b\u000c\u0085\u00a0\u2028\u2029\u202f\u3000\ufeff"
 
 
 def ends(texts: DataFrame) -> DataFrame:
     """texts (key, source, text) with front and base (the text without its end, and the end without white space and mark of omission), chars (their length), broken and mark."""
-    t = texts.withColumn("text", F.rtrim("text", F.lit(BLANKS))).withColumn("end", F.substring("text", -END, END))
-    t = t.withColumn("base", F.rtrim(F.regexp_replace(F.regexp_replace("end", BROKEN, ""), MARK, ""), F.lit(BLANKS)))
+    base = lambda end: F.rtrim(F.regexp_replace(F.regexp_replace(end, BROKEN, ""), MARK, ""), F.lit(BLANKS))
+    last = F.substring("text", -END, END)
+    t = texts.withColumn("text", F.rtrim("text", F.lit(BLANKS))).withColumn("end", F.when((F.length("text") <= END) | ~base(last).rlike(r"\s"), F.col("text")).otherwise(last))
+    t = t.withColumn("base", base(F.col("end")))
     front = F.substring(F.col("text"), F.lit(1), F.length("text") - F.length("end"))
     return t.select("key", "source", front.alias("front"), "base", (F.length("text") - F.length("end") + F.length("base")).alias("chars"), F.col("end").rlike(BROKEN).alias("broken"), F.col("end").rlike(MARK).alias("mark"))
 

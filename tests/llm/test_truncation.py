@@ -38,6 +38,22 @@ def test_planted_cuts(spark):
     assert 2000 not in got and got[1000] == "word" and got[1001] == "sentence" and got[1004] == "link"
 
 
+def test_last_words_longer_than_the_end(spark):
+    r = random.Random(5)
+    rows = [(k, sentences(r, 3), "news") for k in range(100)]
+    long = {
+        1000: "See https://t.example/" + "station" * 90,
+        1001: "See https://t.example/" + "q" * 380 + "/station/engine/the",
+        1002: "mail to " + "desk." * 90 + "the@mail.example",
+        1003: "See https://t.example/" + "x" * 500 + " " * 5 + "...",
+        1004: "My sister carried the #" + "engine_" * 70 + "the",
+    }
+    got = judged(spark, rows + [(k, t, "news") for k, t in long.items()])
+    assert {k: got[k] for k in long} == dict.fromkeys(long)
+    e = truncation.ends(spark.createDataFrame([(1, None, "a " + "b" * 450), (2, None, "a " + "b" * 450 + " c" * 10), (3, None, "a " + "b" * 450 + " …")], "key int, source string, text string"))
+    assert {x["key"]: (x["front"] == "", x["chars"], x["mark"]) for x in e.collect()} == {1: (True, 452, False), 2: (False, 472, False), 3: (True, 452, True)}
+
+
 def test_limits(spark):
     df = spark.createDataFrame([("a", 140)] * 12 + [("a", n) for n in range(100, 200)] + [(None, 7)] * 6, "source string, chars int")
     assert {(r["source"], r["chars"]) for r in truncation.limits(df).collect()} == {("a", 140), (None, 7)}
