@@ -55,3 +55,22 @@ def test_empty_and_clashes(spark, df):
 def test_long_array(spark):
     d = spark.range(1).selectExpr("id", "transform(sequence(1, 20000), x -> named_struct('y', x)) as a")
     assert dewey_nodes(d, "id", ["a"]).count() == 20000
+
+
+def test_every_path_has_a_query(spark, tmp_path):
+    from larkspur.plans.nested_queries import QUERIES
+
+    e = "struct<hashtags: array<struct<text: string, indices: array<int>>>, user_mentions: array<struct<indices: array<int>>>, urls: array<struct<indices: array<int>>>, media: array<struct<indices: array<int>>>>"
+    own = {"hashtags": [None, {"text": "a", "indices": [0, 2]}], "user_mentions": [{"indices": [3, 5]}], "urls": [], "media": None}
+    deep = {"hashtags": [{"text": None, "indices": None}], "urls": [{"indices": []}], "media": [{"indices": [7, 8]}]}
+    rows = [(1, own, {"retweeted_status": {"entities": deep}}), (1, own, {"retweeted_status": {"entities": deep}}), (2, None, {"entities": own}), (3, None, None)]
+    spark.createDataFrame(rows, f"tweet_id bigint, entities {e}, retweeted_status struct<entities: {e}, retweeted_status: struct<entities: {e}>>").write.parquet(str(tmp_path / "tweets.parquet"))
+    s = "struct<synsets: array<string>>"
+    rel = [None, {"predicate": "on", "synsets": ["x", None, "y"], "object": None, "subject": {"synsets": ["z"]}}]
+    spark.createDataFrame([(1, rel)], f"image_id bigint, relationships array<struct<predicate: string, synsets: array<string>, object: {s}, subject: {s}>>").write.parquet(str(tmp_path / "relationships.parquet"))
+    got = lambda q: sorted((tuple(r) for r in QUERIES[q](spark, str(tmp_path)).collect()), key=str)
+    first, second, third = "entities", "retweeted_status.entities", "retweeted_status.retweeted_status.entities"
+    assert got("p4_hashtags") == [(1, f"{first}.hashtags", "0.1", "", "a", [0, 2]), (1, f"{third}.hashtags", "4.0", "", None, None), (2, f"{second}.hashtags", "0.1", "", "a", [0, 2])]
+    assert got("p4_user_mentions") == [(1, f"{first}.user_mentions", "1.0", "", [3, 5]), (2, f"{second}.user_mentions", "1.0", "", [3, 5])]
+    assert got("p4_urls") == [(1, f"{third}.urls", "6.0", "", [])] and got("p4_media") == [(1, f"{third}.media", "7.0", "", [7, 8])]
+    assert got("p4_relation_synsets") == [(1, "0.1.1.0", "0.1", "x"), (1, "0.1.1.2", "0.1", "y")] and got("p4_subject_synsets") == [(1, "0.1.3.0", "0.1", "z")]
