@@ -1,14 +1,14 @@
 """Problem 1: a score for abusive, hateful or sexually explicit language in every text.
 
 Boosted trees over dense features, calibrated by isotonic regression. Texts are first freed from disguise (look-alikes, signs for letters, letters spaced
-out, drawn out or starred); each sentence is then searched once for all lexicons, fixed ones in several languages and one learned from the labelled texts
-(word sequences with high or low odds); the features are the strongest sentence's lexicon densities, how near the second person or a group of people
-stands, and the text's capitals, punctuation and disguises.
+out, drawn out or starred); each sentence is then searched once for all lexicons: general ones in several languages, and one learned from the labelled
+texts (word sequences with high or low odds). The features are the strongest sentence's lexicon densities, how near the second person or a group of people
+stands, and the text's capitals, punctuation and disguises. What they weigh is learned from the labels alone.
 
-Training reads bounded samples of labelled and unlabelled texts (MOST_LABELS, MOST_UNLABELLED); every text is scored whole, and the share of cases, which
-moves all scores, comes from the scores of all texts.
+Training reads a bounded sample of labelled texts (MOST_LABELS); every text is scored whole, and the share of cases, which moves all scores, comes from the
+scores of all texts.
 
-Defined cases: null and empty texts have score 0; repeated rows get equal scores; without any label the fixed lexicons alone decide.
+Defined cases: null and empty texts have score 0; repeated rows get equal scores; without any label the general lexicons' own entries are the examples.
 """
 
 from __future__ import annotations
@@ -27,43 +27,37 @@ from larkspur.llm.chars import invisible, plain
 from larkspur.llm.sample import bounded
 from larkspur.session import cut
 
-#: Labelled texts to learn from, and unlabelled ones to learn the background from, at most.
-MOST_LABELS, MOST_UNLABELLED = 8_000, 6_000
+#: Labelled texts to learn from, at most.
+MOST_LABELS = 14_000
 THRESHOLD = 0.5
 #: The least score (and the greatest, less than 1 by as much) before scores are moved, and the width of the bins in which all texts' log odds are counted: some 12,000 bins, however many texts.
 LEAST, BIN = 0.002, 0.001
 
-# Word beginnings (with -) and whole words or phrases, without accents, by kind of language.
+# Words that are common in such language, and in harmless talk of the same things, in several languages, without accents. A hyphen ends the
+# beginning of a word, _ stands between the words of a phrase.
 LEXICON = {
-    "insult": """idiot- moron- loser- asshole- bastard- bitch- cunt- scum- dickhead- imbecil- retard- whore- slut- pathetic worthless dumb stupid garbage trash filthy disgusting
-        piece of shit, waste of oxygen, waste of space, ugly cow, fat face, little rat, fuck off, crawl back, shut up, shit, should be ashamed, son of a bitch
-        arschloch- vollidiot- abschaum scheiss- dreckig- hurensohn- fresse wichser- missgeburt- schlampe- hure- trottel- verpiss-
-        imbecil- mierda- basura gilipollas cabron- estupid- zorra- pendej- das asco, hijo de puta, callate
-        stronz- merda- vaffanculo coglion- fai schifo, rifiuto umano, puttana- cretin- stai zitto, pezzo di
-        connard- connass- salop- ordure- gueule foutre encul- batard- abruti- degout- pute- putain
-        desgracad- otari- cuza- lixo- nojo- cala a boca, vai se foder, filho da puta
-        идиот- дурак- дура сука мраз- твар- ублюд- урод- дерьм- заткни- 馬鹿 バカ クズ くそ きもい""",
-    "violence": """kill yourself, kill you, hope you die, go and die, go die, put down like, will bleed, break your, bringing a bat, jump off the, hang yourself, burn their, beat you, rape- stab- where you live,
-        wish you were dead, nobody would miss you, disappeared from, too stupid to breathe, murder-
-        stirb verreck- umbringen erschiess- keiner will dich, mueras muerete matarte nadie te quiere, crepi muori ammazz- nessuno ti vuole, creve crever personne ne veut de toi, tue toi
-        morra morre se mata, ninguem te quer, умри сдохни убей 死ね 消えろ 殺す""",
-    "dehuman": """vermin- parasit- breed like, rats cockroach- less than human, subhuman- not human, ungeziefer- plage plaga praga- animales animals not belong, thieves thief our air, camps no personas,
-        gehoren nicht, nettoyer scum- invader- kid should sit, sick dogs, untermensch- alive 害虫 крыс- паразит-""",
-    "group": """people folk migrants immigrants refugees foreigners muslims jews gays blacks all los los i les os ces these tous todos kid
-        migranten auslander fluchtling- inmigrantes migranti migrantes imigrantes migrants""",
-    "expel": """thrown out, close the border, get out, send every last, go back, burn their houses, fuera de, echenlos, dehors raus weg damit, cacciateli fora de, queimem bruciate out of, nettoyer""",
-    "sexual": """fuck- cock dick tits pussy porn- nude- naked undress- horny boobs cum blowjob- sex xxx dripping wet, ride him, so hard, filmed in bed, hardcore taste every inch, your body, your tongue, girls only, lick-
-        fick- nackt- porno titten schwanz geil muschi- follar- desnud- polla tetas cono scopar- nude nudi nudo cazz- tette figa baiser baise nues nue bite chatte seins foder fode pelad- pelada- buceta- calientes
-        трах- порн- голы- секс エロ セックス 裸""",
-    "offer": """cam live click link below, full video, en vivo, in diretta, en direct, ao vivo, gratis gratuit gratuito free watch couples girls filles frauen garotas chicas ragazze""",
-    "second": """you your yourself u ur du dich dir dein deine deiner te ti tu eres sei toi ta ton voce vai ты тебя твой вы お前 あなた""",
-    "benign": """clinic screening cancer health education class play theatre zoo mole kennel champion puppies farm crows photos sunset weather heat hitze chaleur caldo calor salita printer song cancion encore
-        wood stack report messages stop calling, should ever tell, ever tell, cuadro marmo marble museo beach plage de, salud clinica educacion educacao sexuelle sessuale kurs sexualkunde brustkrebs- corso cours aula"""
-    ,
+    "insult": """idiot- moron- imbecil- stupid dumb dumbass loser- jerk fool asshole- arsehole- bastard- bitch- cunt- dickhead- scum- retard- whore- slut- pathetic worthless disgusting ugly filthy trash garbage shit- crap
+        fuck_off shut_up piece_of_shit son_of_a_bitch go_to_hell screw_you arschloch- wichser- hurensohn- schlampe- hure- missgeburt- trottel- depp- vollidiot- dummkopf- abschaum dreckig- scheiss- fresse verpiss-
+        estupid- gilipollas cabron- mierda- puta- zorra- pendej- asqueros- basura callate hijo_de_puta asco stronz- merda- coglion- puttan- troia cretin- deficient- vaffanculo schifo stai_zitto feccia rifiuto
+        connard- connass- salop- enfoir- encul- batard- abruti- ordure- pute- putain gueule foutre merde degout- otari- desgracad- vagabund- cuza- lixo nojent- nojo cala_a_boca filho_da_puta
+        идиот- дурак- дура сука мраз- твар- ублюд- урод- дерьм- заткни- придур- 馬鹿 バカ アホ クズ くそ ブス きもい""",
+    "threat": """kill- die murder- rape- stab- strangle- bleed beat_you hurt_you shoot_you kill_yourself hang_yourself stirb verreck- umbring- erschiess- totschlag- muere- matar- matate crepa crepi muori ammazz- uccid-
+        creve- crever tuer meurs egorg- morra morre mata умри сдохни убей убью 死ね 消えろ 殺す""",
+    "dehuman": """vermin- parasit- cockroach- rats subhuman- less_than_human savage- infest- invad- breed- plague animals thieves thief disease untermensch- ungeziefer- ratten plaga ratas animales parassit- animali vermine
+        cafard- rats praga ratos animais крыс- паразит- 害虫 寄生虫""",
+    "group": """people folk migrants immigrants refugees foreigners muslims jews christians gays blacks whites women all every these those auslander migranten fluchtling- inmigrantes migranti migrantes imigrantes leute alle
+        todos tutti tous""",
+    "expel": """deport- expel- expuls- get_out go_back thrown_out kick_out border camps burn- raus abschieb- verbrenn- fuera echar- echen- cacci- fuori bruci- dehors brul- fora queim- вон""",
+    "sexual": """sex- porn- nude- naked horny cock dick tits boobs pussy cum blowjob- xxx anal hardcore undress- erotic- nsfw fuck- fick- nackt- titten muschi- schwanz geil follar- desnud- polla tetas cono verga scopar- nudi tette
+        cazz- figa baiser nue nues nichons bite chatte foder nua nuas pelad- buceta- peitos порн- секс- голы- трах- エロ セックス 裸""",
+    "second": """you your yourself u ur du dich dir dein- te ti tu tua eres sei toi ta ton voce vai ты тебя твой вы お前 あなた""",
+    "context": """clinic- hospital doctor health cancer screening vaccin- medical education class- school lesson- course museum theatre film song book weather heat dog dogs farm printer klinik- arzt gesundheit krebs- kurs unterricht
+        schule theater hitze medic- salud clase escuela educacion museo teatro calor salute cancro corso scuola lezione caldo sante cours ecole musee chaleur saude aula escola museu врач клиник- школ- урок- музе- 病院 健康 学校 授業""",
+    "against": """stop report- block- harass- bully- apolog- respect moderat- hilfe gewalt acoso respeto molest- rispetto harcel- assedio respeito""",
 }
 KINDS = list(LEXICON)
-HOT = ("insult", "violence", "dehuman", "expel", "sexual")
-NEAR = [("insult", "second"), ("violence", "second"), ("sexual", "second"), ("dehuman", "group"), ("expel", "group"), ("insult", "benign"), ("sexual", "benign"), ("sexual", "offer")]
+HOT = ("insult", "threat", "dehuman", "expel", "sexual")
+NEAR = [("insult", "second"), ("threat", "second"), ("sexual", "second"), ("dehuman", "group"), ("expel", "group"), ("insult", "context"), ("sexual", "context"), ("insult", "against")]
 
 SKIP = re.compile(r"https?://\S*|[@#]\w+|\b[Rr][Tt]\b", re.I)
 SPACED = re.compile(r"(?<![^\W_])((?:[^\W\d_][ .\-_*]){2,}[^\W\d_])(?![^\W_])")
@@ -88,24 +82,8 @@ def folded(s: str) -> str:
 
 
 def entries() -> list[tuple[str, str]]:
-    """(kind, pattern) of the fixed lexicons: patterns are words between blanks, or begin with one only."""
-    out = []
-    for kind, text in LEXICON.items():
-        text = " " + re.sub(r"[\s,]+", " ", text) + " "
-        for phrase in sorted(PHRASES, key=len, reverse=True):
-            if f" {phrase} " in text:
-                text = text.replace(f" {phrase} ", "  ")
-                out.append((kind, f" {folded(phrase)} "))
-        for w in text.split():
-            f = folded(w.rstrip("-"))
-            out.append((kind, f" {f}" + ("" if w.endswith("-") else " ")))
-    return out
-
-
-# The phrases among the lexicons' entries.
-PHRASES = frozenset(
-    """piece of shit|waste of oxygen|waste of space|ugly cow|fat face|little rat|fuck off|crawl back|shut up|should be ashamed|son of a bitch|das asco|hijo de puta|fai schifo|rifiuto umano|stai zitto|pezzo di|cala a boca|vai se foder|filho da puta|kill yourself|kill you|hope you die|go and die|go die|put down like|will bleed|break your|bringing a bat|jump off the|hang yourself|burn their|beat you|where you live|wish you were dead|nobody would miss you|disappeared from|too stupid to breathe|keiner will dich|nadie te quiere|nessuno ti vuole|personne ne veut de toi|tue toi|se mata|ninguem te quer|breed like|less than human|not human|not belong|our air|no personas|gehoren nicht|kid should sit|sick dogs|thrown out|close the border|get out|send every last|go back|burn their houses|fuera de|weg damit|fora de|out of|dripping wet|ride him|so hard|filmed in bed|taste every inch|your body|your tongue|girls only|link below|full video|en vivo|in diretta|en direct|ao vivo|stop calling|should ever tell|ever tell|plage de|untermensch""".split("|")
-)
+    """(kind, pattern) of the general lexicons: patterns are words between blanks, or begin with one only."""
+    return [(kind, f" {folded(w.rstrip('-').replace('_', ' '))}" + ("" if w.endswith("-") else " ")) for kind, text in LEXICON.items() for w in text.split()]
 
 
 HIDDEN = invisible()
@@ -134,20 +112,20 @@ class Text:
         self.sentences = [w for s in SENTENCE.split(folded(low)) if (w := TOKEN.findall(s))]
 
     def sequences(self) -> set[str]:
-        """The runs of one to three words of the sentences."""
-        return {" ".join(w[i : i + n]) for w in self.sentences for n in (1, 2, 3) for i in range(len(w) - n + 1)}
+        """The runs of one to three words of the sentences, but for single short ones, which are mostly function words."""
+        return {" ".join(w[i : i + n]) for w in self.sentences for n in (1, 2, 3) for i in range(len(w) - n + 1) if n > 1 or len(w[i]) > 3 or w[i] > "\u3040"}
 
 
 def starred_index() -> dict:
     """Lexicon words by (first letter, last letter or none, length), for words with stars."""
     out: dict = {}
-    for text in (LEXICON["sexual"], LEXICON["insult"], LEXICON["dehuman"], LEXICON["violence"]):
-        for w in re.split(r"[\s,]+", text):
+    for kind in HOT:
+        for w in LEXICON[kind].split():
             w = w.rstrip("-")
-            if len(w) > 2:
+            if len(w) > 2 and "_" not in w:
                 out.setdefault((w[0], w[-1], len(w)), w)
                 out.setdefault((w[0], "", len(w)), w)
-    return out | {("f", "r", 5): "foder", ("s", "t", 4): "shit", ("f", "k", 4): "fuck", ("b", "h", 5): "bitch", ("a", "e", 7): "asshole"}
+    return out
 
 
 class Features:
@@ -168,32 +146,28 @@ class Features:
         self.find.make_automaton()
         self.hot = [KINDS.index(k) for k in HOT]
         self.near = [(KINDS.index(a), KINDS.index(b)) for a, b in NEAR]
-        self.size = 1 + 2 * len(KINDS) + len(NEAR) + 5 + 8
+        self.size = 2 * len(KINDS) + len(NEAR) + 6 + 8
 
     def sentence(self, words: list[str]) -> tuple[float, list[float]]:
         s = f" {' '.join(words)} "
         at: list[list[int]] = [[] for _ in KINDS]
-        phrases = [0] * len(KINDS)  # several words say more than one
+        phrases = 0  # several words say more than one
         total = high = low = 0.0
         for end, (n, several, what) in self.find.iter(s):
             for kind, v in what:
                 if kind < len(KINDS):
                     at[kind].append(end - n // 2)
-                    phrases[kind] += several
+                    phrases += several
                 else:
                     total += v
                     high, low = max(high, v), min(low, v)
         k = len(words)
         near = [min((abs(a - b) for a in at[i] for b in at[j]), default=200) for i, j in self.near]
-        n = {x: len(a) + 0.5 * p for x, a, p in zip(KINDS, at, phrases, strict=True)}
-        hot = n["insult"] + n["violence"] + n["sexual"] + (1.0 if n["group"] else 0.7) * (n["dehuman"] + n["expel"])
-        prior = -3.0 + 2.2 * min(hot, 3) + 0.5 * min(total, 3.0) - 1.5 * min(n["benign"], 2)
         strength = sum(len(at[i]) for i in self.hot) * 2 + total
-        return strength, [prior, *[len(a) / k for a in at], *[float(len(a)) for a in at], *map(float, near), total, high, low, total / k, float(k)]
+        return strength, [*[len(a) / k for a in at], *[float(len(a)) for a in at], *map(float, near), float(phrases), total, high, low, total / k, float(k)]
 
     def rows(self, texts: list[Text | None]) -> np.ndarray:
         out = np.zeros((len(texts), self.size), np.float32)
-        out[:, 0] = -4.0
         for row, x in enumerate(texts):
             if x is None:
                 continue
@@ -232,36 +206,29 @@ def learned(held: list[set[str]], y: np.ndarray, w: np.ndarray, least: int = 3,
 class Model:
     """The learned lexicon and the calibrated trees."""
 
-    def __init__(self, rows: list[tuple[str, bool]], background: list[str] = ()):
-        """rows: labelled texts, in an order that has nothing to do with the labels. background: unlabelled texts, most of them harmless."""
+    def __init__(self, rows: list[tuple[str, bool]]):
+        """rows: labelled texts, in an order that has nothing to do with the labels."""
         if not rows:
-            # Without labels: the fixed lexicons' own entries are the examples.
-            rows, background = [(p.strip() + (" you" if k in HOT else ""), k in HOT) for k, p in entries() if k in (*HOT, "benign", "second")], []
-        starred, n = starred_index(), len(rows)
-        texts = [Text(t, starred) for t in [*[t for t, _ in rows], *background]]
-        held, part = [t.sequences() for t in texts], np.array([sum(map(ord, t)) % 3 for t in [*[t for t, _ in rows], *background]])
-        y, w = np.array([float(v) for _, v in rows] + [0.0] * len(background)), np.r_[np.ones(n), np.zeros(len(background))]
-        self.fit(texts, held, part, y, w)
-        if len(background):
-            # Judgements that the rest of the sample speaks clearly against are taken for slips and count little. What the model so far finds harmless in
-            # the background joins as harmless, so that the many harmless kinds of text that nobody has judged are known too.
-            x = Features(self.weights).rows(texts[n:])
-            p = np.maximum(self.model(x), x[:, 0] > -0.5)  # what the fixed lexicons find strong is left out too
-            self.fit(texts, held, part, y, np.r_[np.where(np.abs(y[:n] - self.unseen[:n]) > 0.85, 0.05, 1.0), np.where(p < 0.5, 0.5, 0.0)])
-
-    def fit(self, texts: list[Text], held: list[set[str]], part: np.ndarray, y: np.ndarray, w: np.ndarray) -> None:
-        some = np.flatnonzero(w > 0)
+            # Without labels: the general lexicons' own entries are the examples.
+            rows = [(p.strip() + (" you" if k in HOT else ""), k in HOT) for k, p in entries()]
+        starred = starred_index()
+        texts = [Text(t, starred) for t, _ in rows]
+        held, part = [t.sequences() for t in texts], np.array([sum(map(ord, t)) % 3 for t, _ in rows])
+        y = np.array([float(v) for _, v in rows])
+        self.fit(texts, held, part, y, np.ones(len(y)), 15)
+        # Judgements that the rest of the sample speaks clearly against are taken for slips and count little.
+        self.fit(texts, held, part, y, np.where(np.abs(y - self.unseen) > 0.85, 0.05, 1.0))
+
+    def fit(self, texts: list[Text], held: list[set[str]], part: np.ndarray, y: np.ndarray, w: np.ndarray, rounds: int = 50) -> None:
         x = np.zeros((len(texts), Features({}).size), np.float32)
         for h in range(3):
             # The learned lexicon's features of a training text come from a lexicon that saw neither the text nor an equal one.
-            out, own = [i for i in some if part[i] != h], [i for i in some if part[i] == h]
+            out, own = np.flatnonzero(part != h), np.flatnonzero(part == h)
             x[own] = Features(learned([held[i] for i in out], y[out], w[out])).rows([texts[i] for i in own])
-        self.weights = learned([held[i] for i in some], y[some], w[some])
-        rounds = int(np.clip(y.sum() / 4, 10, 50))  # few cases teach little more than the prior knows
-        self.model = Calibrated(rounds=rounds, depth=3, rate=0.15, leaf=max(3.0, len(some) / 600), prior=True).fit(x[some], y[some], w[some])
-        self.unseen = np.full(len(y), 0.5)
-        self.unseen[some] = self.model.calibration(self.model.unseen)
-        self.rate = float(np.average(y[some], weights=w[some]))
+        self.weights = learned(held, y, w)
+        self.model = Calibrated(rounds=rounds, depth=3, rate=0.15, leaf=max(3.0, len(y) / 600)).fit(x, y, w)
+        self.unseen = self.model.calibration(self.model.unseen)
+        self.rate = float(np.average(y, weights=w))
 
 
 def prevalence(p: np.ndarray, n: np.ndarray, sample_rate: float) -> float:
@@ -297,7 +264,7 @@ def score(tweets: DataFrame, labels: DataFrame, key: str = "tweet_id", text: str
     own = tweets.where(F.col(text).isNotNull() & (F.col(text) != "")).select(F.col(key).alias("k"), F.col(text).alias("t"))
     texts = own.join(F.broadcast(l.select("k").distinct()), "k", "left_semi").dropDuplicates(["k"])  # MOST_LABELS keys at most
     rows = [(r["t"], r["bad"]) for r in l.join(texts, "k").select("t", "bad", F.xxhash64("k", "bad").alias("h")).orderBy("h", "t").collect()]
-    model = Model(rows, [r["t"] for r in bounded(own, ["k", "t"], MOST_UNLABELLED)] if rows else [])
+    model = Model(rows)
     held = tweets.sparkSession.sparkContext.broadcast((model.weights, model.model))  # at most 4000 word sequences and 50 trees
 
     def run(batches: Iterator) -> Iterator:

@@ -36,6 +36,20 @@ def test_disguise_and_empty(spark):
     assert got[10_001] == got[10_002] == 0.0 and all(got[k] > 0.5 for k in (10_003, 10_004, 10_005)) and got[10_006] < 0.5
 
 
+def test_phrases_of_no_lexicon_are_learned(spark):
+    # Words that stand in no lexicon, some offensive, some not: only the labels tell.
+    r, rows = random.Random(3), []
+    bad, good = ["you utter {} of a neighbour", "nobody in {} wants your face here", "te voy a {} esta noche"], ["the {} opens at nine", "we saw the {} by the lake", "ayer la {} estaba cerrada"]
+    nouns = ["".join(r.choice("bdfglmnprstv") + r.choice("aeiou") for _ in range(3)) for _ in range(400)]
+    for k in range(900):
+        v = r.random() < 0.35
+        rows.append((k, r.choice(bad if v else good).format(r.choice(nouns)), "a", v))
+    tweets = spark.createDataFrame([x[:3] for x in rows], "tweet_id bigint, text string, source string")
+    labels = spark.createDataFrame([(k, "abusive" if v else "none", 1) for k, _, _, v in rows if k % 3], "tweet_id bigint, label string, annotator int")
+    got = {x["key"]: x["score"] for x in abuse.score(tweets, labels).collect()}
+    assert np.mean([(got[k] >= abuse.THRESHOLD) == v for k, _, _, v in rows if k % 3 == 0]) > 0.97
+
+
 def test_no_labels_and_no_tweets(spark):
     _, tweets, labels = tables(spark, 40)
     got = {r["key"]: r["score"] for r in abuse.score(tweets, labels.limit(0)).collect()}
@@ -47,7 +61,6 @@ def test_share_of_cases_comes_from_all_tweets(spark, monkeypatch):
     # The mean score of all tweets is the share that the scores were moved to: so not from a sample, and no redelivered row counts twice.
     shares, real = [], abuse.prevalence
     monkeypatch.setattr(abuse, "prevalence", lambda *a: shares.append(real(*a)) or shares[-1])
-    monkeypatch.setattr(abuse, "MOST_UNLABELLED", 40)
     rows, tweets, labels = tables(spark)
     again = spark.createDataFrame([x[:3] for x in rows if x[3]] * 3, tweets.schema)
     got = {r["key"]: r["score"] for r in abuse.score(tweets.unionByName(again), labels).collect()}
