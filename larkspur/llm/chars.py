@@ -65,3 +65,16 @@ def plain(text: str, latin: bool = True) -> str:
     if latin and other.search(text) and not cyrillic.search(text):
         text = text.translate(latin_table())
     return text
+
+
+def origins(text: str) -> list[int]:
+    """For each character of plain(text) the place in text of the first one it was made from, and the length of text at the end."""
+    table, out, held, at = plain_table(), [], "", 0
+    for i, c in enumerate(text):
+        for x in table.get(ord(c), c) or "":
+            if held and (unicodedata.combining(x) or unicodedata.normalize("NFC", held + x) != unicodedata.normalize("NFC", held) + x):
+                held += x
+                continue
+            out += [at] * len(unicodedata.normalize("NFC", held))
+            held, at = x, i
+    return [*out, *[at] * len(unicodedata.normalize("NFC", held)), len(text)]
