@@ -1,9 +1,9 @@
 """Problem 5: one record for copies that differ only in their layout.
 
 First byte-identical texts are collapsed with their counts (combined on the map side, so a text that a third of all rows share moves as one row
-per task); only the distinct survivors are brought to canonical form; these are grouped again on the full canonical text, summing the counts. Texts travel through shuffles as
-128 bits of hash, but for the one that collapses them.
-Nothing is gathered: a group is a smallest key, a count and no list, so its size doesn't matter.
+per task); only the distinct survivors are brought to canonical form; these are grouped again on the full canonical text, summing the counts.
+Nothing is gathered: a group is a smallest key, a greatest one and a count, and no list, so its size doesn't matter. Where rows are led back to their
+group, texts that were already told apart are named by their SHA-256.
 
 The canonical form keeps letters, digits and accents, in lower case, characters that look alike being one; named fields (name: value or
 name = value, separated by a sign or line end) are put in alphabetical order.
@@ -56,38 +56,40 @@ def canonical(df: DataFrame, key: str, text: str = "text") -> DataFrame:
     return map_sql(d, canonical_sql("key, "), f"key {d.schema['key'].dataType.simpleString()}, canon string")
 
 
-def _hashes(c: str, a: str, b: str) -> list:
-    """128 bits of hash that stand for a text in shuffles."""
-    return [F.xxhash64(F.lit(1), F.col(c)).alias(a), F.xxhash64(F.lit(2), F.col(c)).alias(b)]
+def _digest(c: str):
+    return F.unhex(F.sha2(F.col(c).cast("binary"), 256))
 
 
-def _collapsed(df: DataFrame, key: str, text: str, bare: bool = False) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """ids: the rows as (key, t1, t2); texts: every distinct text as (t1, t2, c1, c2, n); groups: every canonical text as (c1, c2, root, copies).
-    t and c are hashes of the whole text and the whole canonical text."""
-    formed = F.col(f"`{text}`").rlike("[\\p{L}\\p{Nd}]")
-    raw = df.where((F.col(f"`{text}`").isNotNull() if bare else formed) & F.col(f"`{key}`").isNotNull()).select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("text"))
-    ids = raw.select("key", *_hashes("text", "t1", "t2")).distinct()
-    n = ids.groupBy("t1", "t2").agg(F.count(F.lit(1)).alias("n"), F.min("key").alias("first_key"))
-    distinct = raw.select("text").distinct().select("text", *_hashes("text", "t1", "t2"))
-    if bare:
-        # A text without canonical form is its own: it holds no letter or digit, so it equals no other's.
-        canon = map_sql(distinct, canonical_sql("t1, t2, text, "), "t1 bigint, t2 bigint, text string, canon string")
-        canon = canon.withColumn("canon", F.when(F.col("text").rlike("[\\p{L}\\p{Nd}]") & (F.col("canon") != ""), F.col("canon")).otherwise(F.col("text")))
-    else:
-        canon = map_sql(distinct, canonical_sql("t1, t2, "), "t1 bigint, t2 bigint, canon string")
-    canon = canon.select("t1", "t2", *_hashes("canon", "c1", "c2"))
-    texts = cut(canon.join(n, ["t1", "t2"]))
-    return ids, texts, texts.groupBy("c1", "c2").agg(F.min("first_key").alias("root"), F.sum("n").alias("copies"))
+def _raw(df: DataFrame, key: str, text: str, bare: bool) -> DataFrame:
+    """key and text of the rows that take part."""
+    c = F.col(f"`{text}`")
+    return df.where((c.isNotNull() if bare else c.rlike("[\\p{L}\\p{Nd}]")) & F.col(f"`{key}`").isNotNull()).select(F.col(f"`{key}`").alias("key"), c.alias("text"))
+
+
+def _survivors(raw: DataFrame, bare: bool) -> DataFrame:
+    """Every distinct text of raw (key, text) as digest, canon, n (its rows), first and last (its smallest and greatest key)."""
+    kind = raw.schema["key"].dataType.simpleString()
+    texts = raw.groupBy("text").agg(F.count(F.lit(1)).alias("n"), F.min("key").alias("first"), F.max("key").alias("last"))
+    texts = texts.select(_digest("text").alias("digest"), "text", "n", "first", "last")
+    keep, shape = "digest, n, first, last, ", f"digest binary, n bigint, first {kind}, last {kind}, "
+    if not bare:
+        return map_sql(texts, canonical_sql(keep), shape + "canon string")
+    # A text without canonical form is its own: it holds no letter or digit, so it equals no other's.
+    canon = map_sql(texts, canonical_sql(keep + "text, "), shape + "text string, canon string")
+    return canon.withColumn("canon", F.when(F.col("text").rlike("[\\p{L}\\p{Nd}]") & (F.col("canon") != ""), F.col("canon")).otherwise(F.col("text"))).drop("text")
 
 
 def one_per_text(df: DataFrame, key: str, text: str = "text", bare: bool = False) -> DataFrame:
     """The collapsed records: the smallest key of each canonical text (root), and how many keys have it (copies). bare: texts without letter or digit too."""
-    return _collapsed(df, key, text, bare)[2].select("root", "copies")
+    texts = _survivors(_raw(df, key, text, bare).distinct(), bare)
+    return texts.groupBy("canon").agg(F.min("first").alias("root"), F.sum("n").alias("copies")).select("root", "copies")
 
 
 def copy_links(df: DataFrame, key: str, text: str = "text") -> DataFrame:
     """(root, key) for every copy other than the root itself. A hot text's rows are split by Spark's skew join (adaptive execution)."""
-    ids, texts, groups = _collapsed(df, key, text)
-    # Texts whose class has one row leave here, so that the rows meet only the others.
-    roots = texts.join(groups.where("copies > 1"), ["c1", "c2"]).select("t1", "t2", "root")
-    return ids.join(roots, ["t1", "t2"]).where("key <> root").select("root", "key")
+    raw = _raw(df, key, text, False)
+    texts = cut(_survivors(raw, False).select("digest", "canon", "first", "last"))
+    # Texts whose class has one key leave here, so that the rows meet only the others.
+    groups = texts.groupBy("canon").agg(F.min("first").alias("root"), F.max("last").alias("last")).where("last <> root").select("canon", "root")
+    roots = texts.join(groups, "canon").select("digest", "root")
+    return raw.select("key", _digest("text").alias("digest")).join(roots, "digest").where("key <> root").select("root", "key").distinct()

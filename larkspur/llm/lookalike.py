@@ -1,10 +1,14 @@
 """Problem 6: one form for texts that look the same, as SQL for DuckDB inside Arrow partitions.
 
 The form is made by embedded SQL: invisible characters go (regular expression), width and font forms and non-breaking signs become their plain
-ones (translate), ligatures fall apart (replace), accents are composed (nfc_normalize), and letters of other scripts that look like a Latin
-letter become it (translate). Case, punctuation, ordinary white space and accents stay, so texts differing in these stay different.
+ones (translate), ligatures fall apart (replace), accents are composed (nfc_normalize), and look-alike letters are changed (translate). Case, punctuation,
+ordinary white space and accents stay, so texts differing in these stay different.
 
-Defined cases: a null text has a null form, an empty text an empty one; repeated rows stay repeated; texts of any length are treated whole;
+There are two forms. The skeleton, for comparing only, has the Latin letter for every look-alike, whatever its script. The consistent form, to go on with, keeps
+each word in its own script: a word with a letter that only Cyrillic, Greek or Armenian has stays so, and Latin letters strayed into it become its own, unless it has others that are only Latin; in all
+others look-alikes become Latin, but for words made of nothing else in a text that has such a letter elsewhere.
+
+Defined cases: a null text has null forms, an empty text empty ones; repeated rows stay repeated; texts of any length are treated whole;
 columns of the input other than those named are not read.
 """
 
@@ -21,11 +25,14 @@ from larkspur.session import cut
 # Letters that look like a Latin letter, by script, upper and lower case.
 LOOKALIKES = [
     ("АВЕЅІЈКМНОРСТУХЬҮԚԜҺҪЁЇаеѕіјорсухԛԝһҫёїӏᴦ", "ABESIJKMHOPCTYXbYQWhÇËÏaesijopcyxqwhçëïlr"),  # Cyrillic
-    ("ΑΒΕΖΗΙΚΜΝΟΡΤΥΧοϲϳν", "ABEZHIKMNOPTYXocjv"),  # Greek
+    ("ΑΒΕΖΗΙΚΜΝΟΡΤΥΧοϲϳναγικρυχ", "ABEZHIKMNOPTYXocjvayikpux"),  # Greek
     ("ՕՍՏԼԱօոսհցզյ", "OUSLUonuhgqj"),  # Armenian
     ("ⅠⅤⅩⅬⅭⅮⅯⅰⅴⅹⅼⅽⅾⅿ", "IVXLCDMivxlcdm"),  # Roman numerals
     ("ɑɡɩıȷʏꓐꓑꓔꓖꓗꓚꓜꓝꓟꓠꓢꓡꓤꓦꓪꓬꓮꓰꓲꓳꓴ", "agiijYBPTGKCZFMNSLRVWYAEIOU"),  # Latin extensions, Lisu
+    ("ᎠᎡᎢᎥᎪᎫᎬᎳᎷᎻᏀᏃᏒᏙᏚᏞᏟᏢᏦᏴ", "DRTiAJEWMHGZRVSLCPKB"),  # Cherokee
 ]
+# Scripts that have look-alikes and other letters.
+OTHERS = "\\p{Cyrillic}\\p{Greek}\\p{Armenian}"
 # Characters without ink.
 INVISIBLE = "\\x{00AD}\\x{034F}\\x{061C}\\x{115F}\\x{1160}\\x{17B4}\\x{17B5}\\x{180E}\\x{200B}-\\x{200F}\\x{202A}-\\x{202E}\\x{2060}-\\x{2064}\\x{2066}-\\x{206F}\\x{3164}\\x{FE00}-\\x{FE0F}\\x{FEFF}\\x{FFA0}"
 # Ligatures of letters.
@@ -68,13 +75,53 @@ def form_sql(x: str) -> str:
     return f"case when {x} is null or regexp_full_match({x}, '[\\x00-\\x7F]*') then {x} else nfc_normalize(translate({plain_sql(x)}, {quoted(a)}, {quoted(b)})) end"
 
 
+def consistent_sql(x: str) -> str:
+    """SQL: x with each word in the script it belongs to."""
+    a, b = ("".join(p[k] for p in LOOKALIKES) for k in (0, 1))
+    back = []
+    for one, latin in LOOKALIKES[:3]:
+        to: dict[str, str] = {}
+        for c, y in zip(one, latin, strict=True):
+            to.setdefault(y, c)
+        script = {0: "Cyrillic", 1: "Greek", 2: "Armenian"}[len(back)]
+        latin_, own_ = quoted("".join(to)), quoted("".join(to.values()))
+        back.append(f"when regexp_matches(translate(w, {quoted(a)}, ''), '\\p{{{script}}}') then case when regexp_matches(translate(w, {latin_}, ''), '\\p{{Latin}}') then w else translate(w, {latin_}, {own_}) end")
+    word = (
+        f"case when not regexp_matches(w, '[^\\x00-\\x7F]') then w {' '.join(back)} when own and not regexp_matches(w, '\\p{{Latin}}') then w else translate(w, {quoted(a)}, {quoted(b)}) end"
+    )
+    words = f"nfc_normalize(array_to_string(list_transform(regexp_extract_all(plain, '[\\p{{L}}\\p{{M}}]+|[^\\p{{L}}\\p{{M}}]+'), lambda w: {word}), ''))"
+    inner = f"(select {plain_sql('t')} as plain from (select {x} as t))"
+    return f"case when {x} is null or regexp_full_match({x}, '[\\x00-\\x7F]*') then {x} else (select {words} from (select plain, regexp_matches(translate(plain, {quoted(a)}, ''), '[{OTHERS}]') as own from {inner})) end"
+
+
 def with_form(df: DataFrame, key: str, text: str = "text") -> DataFrame:
-    """key, text and form of every row; form is what texts that look the same have in common."""
+    """key, text and form of every row; form is what texts that look the same have in common (the skeleton, for comparing)."""
     d = df.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("text"))
     kind = d.schema["key"].dataType.simpleString()
     return map_sql(d, f"select key, text, {form_sql('text')} as form from batch", f"key {kind}, text string, form string")
 
 
+def consistent(df: DataFrame, key: str, text: str = "text") -> DataFrame:
+    """key and the text in one consistent form (form), each word in its own script."""
+    d = df.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("text"))
+    kind = d.schema["key"].dataType.simpleString()
+    return map_sql(d, f"select key, {consistent_sql('text')} as form from batch", f"key {kind}, form string")
+
+
+def alike_classes(df: DataFrame, key: str, text: str = "text") -> DataFrame:
+    """One row a key: key, its class (the smallest key whose text looks the same) and links (how many rows look the same with other characters).
+
+    No pair is formed and no group gathered: rows are counted by form and by spelling, and the counts joined back; hot forms are split by Spark's skew join.
+    A key that stands with several texts has a row for each class."""
+    both = lambda c, a, b: (F.xxhash64(F.lit(1), c).alias(a), F.xxhash64(F.lit(2), c).alias(b))
+    rows = with_form(df.where(F.col(f"`{text}`").rlike("[\\p{L}\\p{Nd}]")), key, text).select("key", *both(F.col("form"), "f1", "f2"), *both(F.col("text"), "t1", "t2"))
+    rows = cut(rows.distinct())
+    spellings = rows.groupBy("f1", "f2", "t1", "t2").agg(F.count(F.lit(1)).alias("same"), F.min("key").alias("first"))
+    forms = spellings.groupBy("f1", "f2").agg(F.sum("same").alias("all"), F.min("first").alias("class"))
+    of = spellings.join(forms, ["f1", "f2"]).select("t1", "t2", "class", (F.col("all") - F.col("same")).alias("links"))
+    return rows.join(of, ["t1", "t2"]).select("key", "class", "links").distinct()
+
+
 def alike_pairs(df: DataFrame, key: str, text: str = "text") -> DataFrame:
     """(key_a, key_b), key_a < key_b: all pairs of rows whose texts are different characters of the same form.
 

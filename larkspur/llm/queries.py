@@ -41,9 +41,15 @@ def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def p6_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every tweet's text in its one form."""
+    """Every tweet's text in its one form, words in their own script."""
     t = table(spark, sf_dir, "tweets").where("tweet_id is not null").select("tweet_id", "text")
-    return lookalike.with_form(t, "tweet_id").distinct().select(F.col("key").alias("tweet_id"), "form")
+    return lookalike.consistent(t, "tweet_id").distinct().select(F.col("key").alias("tweet_id"), "form")
+
+
+@query
+def p6_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every own tweet's class of texts that look the same, and how many look the same with other characters."""
+    return lookalike.alike_classes(own_tweets(spark, sf_dir), "tweet_id").toDF("tweet_id", "class_id", "links")
 
 
 def _frequencies(spark: SparkSession, sf_dir: str) -> DataFrame:

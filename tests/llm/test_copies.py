@@ -63,3 +63,18 @@ def test_copies_of_every_text(spark, tmp_path):
     rows = [(1, "RT @a: so it is", {"text": "so it is"}), (2, "rt @a so it is!", None), (3, "...", None), (4, "...", None), (4, "...", None), (5, "..", None), (6, "", None), (7, None, None), (8, "🔥", {"text": "🔥"}), (9, "ㅤ", None)]
     spark.createDataFrame(rows, "tweet_id bigint, text string, retweeted_status struct<text: string>").write.parquet(str(tmp_path / "tweets.parquet"))
     assert sorted(map(tuple, p5_copies(spark, str(tmp_path)).collect())) == [(1, 2), (3, 2), (5, 1), (6, 1), (8, 1), (9, 1)]
+
+
+def test_recall_on_layouts_made_here(spark):
+    # Layouts by rules of this test: words joined by other signs, in other cases and wrapped; a fixed share has one letter changed and is no copy.
+    r, rows, want = random.Random(6), [], set()
+    for k in range(400):
+        words = [f"w{chr(97 + k % 26)}{k}", *(r.choice(["lantern", "Ufer", "café", "piña", "мост", "橋"]) for _ in range(5))]
+        other = r.choice([" ", "  ", "\n", " - ", ", ", "_", "\t", " ★ "]).join(r.choice([str.upper, str.lower, str.title])(w) for w in words)
+        if r.random() < 0.3:
+            other += "x"
+        else:
+            want.add((2 * k, 2 * k + 1))
+        rows += [(2 * k, " ".join(words)), (2 * k + 1, r.choice(["(", "", "«"]) + other + r.choice([")", "!", "…"]))]
+    got = set(map(tuple, copies.copy_links(frame(spark, rows), "id").collect()))
+    assert got == want and len(want) > 200

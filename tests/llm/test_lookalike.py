@@ -48,6 +48,52 @@ def test_forms(spark):
     assert got == {1: None, 2: "", 3: "Full width", 4: "résumé", 5: "paypal", 6: "office", 7: "zap", 8: "ガ", 9: "plain Text, as it is"}
 
 
+def test_consistent_forms_keep_scripts(spark):
+    want = {
+        "Привет мир": "Привет мир", "Пpивeт мир": "Привет мир", "рaypal": "paypal", "рaураl login": "paypal login", "Привет сор и cop": "Привет сор и cop", "Ωmega αβγ": "Ωmega αβγ", "ＦＵＬＬ Кate": "FULL Kate",
+        "ﬁne é": "fine é", "αpple": "apple", "Ελλάδα": "Ελλάδα", "Բարեւ": "Բարեւ", "za‍p­ ｶﾞ": "zap ガ", "": "", None: None, "a" * 100_000 + "е": "a" * 100_000 + "e",
+    }
+    df = spark.createDataFrame(list(enumerate(want)), "id int, text string")
+    got = {r["key"]: r["form"] for r in lookalike.consistent(df, "id").collect()}
+    assert [got[k] for k in range(len(want))] == list(want.values())
+
+
+def test_classes_against_pairs(spark):
+    r = random.Random(5)
+    rows = []
+    for k in range(200):
+        t = r.choice(["Kate a fini", "une autre", "un", "日本"])
+        for w in r.sample(WAYS[:7], r.randrange(0, 3)):
+            t = w(t)
+        rows.append((k, t))
+    df = spark.createDataFrame([*rows, rows[3], (900, None), (901, "...")], "id bigint, text string")
+    links, classes = dict.fromkeys(range(200), 0), {k: k for k in range(200)}
+    for a, b in sorted(map(tuple, lookalike.alike_pairs(df, "id").collect())):
+        links[a], links[b] = links[a] + 1, links[b] + 1
+        classes[b] = min(classes[b], classes[a])
+    got = {x["key"]: (x["class"], x["links"]) for x in lookalike.alike_classes(df, "id").collect()}
+    same = {}
+    for k, t in rows:
+        same.setdefault(t, k)
+    assert {k: v[1] for k, v in got.items()} == links
+    assert all(got[k][0] <= min(classes[k], same[t]) and got[got[k][0]][0] == got[k][0] for k, t in rows)
+    assert lookalike.alike_classes(df.limit(0), "id").count() == 0
+
+
+def test_recall_on_letters_of_no_table(spark):
+    # Pairs made from letters listed here, not from the operator's tables, and from mathematical letters and invisible signs.
+    other = {"o": "оο", "a": "аα", "A": "АΑ", "i": "іι", "p": "рρ", "E": "ЕΕ", "T": "ТΤ", "x": "хχ"}
+    r, rows, pairs = random.Random(8), [], 0
+    for k in range(300):
+        t = f"pattern {k} Tea Axe oxide"
+        i = r.choice([n for n, c in enumerate(t) if c in other])
+        u = r.choice([t[:i] + r.choice(other[t[i]]) + t[i + 1 :], "".join(chr(0x1D400 + ord(c) - 65) if c.isupper() else chr(0x1D41A + ord(c) - 97) if c.islower() else c for c in t), t.replace("e", "e\u2063"), t.replace(" ", "\u2007", 1)])
+        rows += [(2 * k, t), (2 * k + 1, u)]
+        pairs += 1
+    got = lookalike.alike_pairs(spark.createDataFrame(rows, "id bigint, text string"), "id").where("key_b = key_a + 1 and key_a % 2 = 0").count()
+    assert got / pairs > 0.97
+
+
 def test_hot_form_makes_no_pairs(spark):
     df = spark.range(20000).selectExpr("id", "'same text' as text").unionByName(spark.createDataFrame([(-1, "same text")], "id bigint, text string"))
     assert lookalike.alike_pairs(df, "id").count() == 20000
