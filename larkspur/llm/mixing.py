@@ -3,7 +3,8 @@
 A document's expected copies fall with a power of its length (DAMPING), so that a few very long texts don't fill a source's share, and are cut at the source's max_repeats; their level
 is set so that the expected tokens are the source's share of the total. The whole part of a document's expected copies is certain; for its fraction p documents are ranked by random odds
 over inclusion odds, u/(1-u) / (p/(1-p)), with u from a hash of the key, and the first ones are taken until the rest of the source's tokens is full: a sample of fixed size with
-unequal probabilities.
+unequal probabilities. A document that doesn't fit any more is passed over and the selection goes on behind it among those that may, until less than TOLERANCE of the source's tokens
+is free or none fits.
 
 The place in the ranking where to stop is found by radix selection: token sums by ever finer ranges of the rank, some thousand sums per source however many documents there
 are; no source is sorted or gathered. What the driver collects is bounded by the number of target rows times those ranges.
@@ -11,7 +12,7 @@ are; no source is sorted or gathered. What the driver collects is bounded by the
 By default the total is the largest at which every source with documents can have its share with its max_repeats; shares of sources without documents go to the others in proportion.
 
 Defined cases: documents without source, of a source without target, or without tokens take no part; null shares and repeats count as 0 and 1; a source named twice in targets has the sum of its shares and
-the most repeats; equal ranks are ordered by key; repeated keys are documents of their own; without any usable source the mixture is empty.
+the most repeats; documents of equal rank fit together or not at all; repeated keys are documents of their own, of equal rank; without any usable source the mixture is empty.
 """
 
 from __future__ import annotations
@@ -20,12 +21,13 @@ import math
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from larkspur.session import cut
 
 #: Expected copies go with tokens ** -DAMPING.
 DAMPING = 0.25
+#: The share of a source's tokens that may stay free.
+TOLERANCE = 0.001
 #: Steps of length per doubling in which the expected copies are set, and of rank per doubling at each level of the selection.
 STEPS, LEVELS = 16, (64, 64 * 4096, 64 * 4096 * 4096)
 
@@ -71,45 +73,51 @@ def mixture(docs: DataFrame, targets: DataFrame, key: str, source: str, tokens:
     u = (F.pmod(F.xxhash64(F.lit(seed), "key"), F.lit(2**52)) + 0.5) / float(2**52)
     odds = F.col("fraction") / (1 - F.col("fraction"))
     ranked = d.join(plan_df, ["source", "step"]).withColumn("rank", F.when(F.col("fraction") > 1e-9, F.log2(u / (1 - u)) - F.log2(odds)))
-    # Radix selection of the last rank taken.
-    left = {s: r for s, _, _, _, r in plan}
-    stops: dict[str, list[int]] = {s: [] for s in left}
-    for depth, fine in enumerate(LEVELS):
-        at = F.floor((F.col("rank") + 128) * fine)
-        here = ranked.where(F.col("rank").isNotNull())
-        if depth:
-            above = F.create_map(*[F.lit(x) for s, v in stops.items() if v for x in (s, v[-1])]) if any(stops.values()) else None
-            if above is None:
-                break
-            here = here.where(F.floor((F.col("rank") + 128) * LEVELS[depth - 1]) == F.try_element_at(above, F.col("source")))
-        sums: dict[str, list[tuple[int, int]]] = {}
-        for r in here.groupBy("source", at.alias("at")).agg(F.sum("tokens").alias("t")).collect():  # sources times some thousand ranges
-            sums.setdefault(r["source"], []).append((r["at"], r["t"]))
-        for s in list(stops):
-            if depth and not stops[s]:
-                continue
-            for a, t in sorted(sums.get(s, [])):
-                if t > left[s]:
-                    stops[s] = [*stops[s], a]
+    out = ranked.withColumn("place", F.floor((F.col("rank") + 128) * LEVELS[-1]))
+    spans = selected(out.where("place is not null").select("source", "tokens", "place"), {s: r for s, _, _, _, r in plan}, {s: TOLERANCE * size * usable[s][0] / shares for s in usable})
+    spans_df = spark.createDataFrame([(s, v) for s, v in spans.items()], "source string, spans array<struct<after:bigint,upto:bigint,most:double>>")
+    r = out.join(F.broadcast(spans_df), "source", "left")  # a few spans a source
+    taken = F.exists("spans", lambda x: (F.col("place") > x["after"]) & (F.col("place") < x["upto"]) & (F.col("tokens") <= x["most"]))
+    r = r.withColumn("copies", F.col("copies") + F.coalesce(taken, F.lit(False)).cast("int"))
+    return r.where("copies > 0").select("key", "source", "tokens", "copies")
+
+
+def selected(d: DataFrame, left: dict[str, float], enough: dict[str, float]) -> dict[str, list[tuple[int, int, float]]]:
+    """Of documents (source, tokens, place in the ranking), which are taken so that each source's tokens fill what is left: spans (after, upto, most), a document being taken
+    whose place is between after and upto, both excluded, and which has at most so many tokens. enough: what may stay free.
+
+    Each round finds, by radix selection, the place where the rest is full, and goes on behind it among the documents that still may fit."""
+    last = 2**62
+    left, after, most, spans = dict(left), dict.fromkeys(left, -1), dict.fromkeys(left, float(last)), {s: [] for s in left}
+    going = {s for s in left if left[s] > 0}
+    while going:
+        state = F.create_map(*[F.lit(x) for s in sorted(going) for x in (s, F.struct(F.lit(after[s]).cast("bigint").alias("after"), F.lit(most[s]).alias("most")))])
+        here = d.where(F.col("source").isin(sorted(going)))
+        of = F.try_element_at(state, F.col("source"))
+        here = here.where((F.col("place") > of["after"]) & (F.col("tokens") <= of["most"]))
+        above: dict[str, int] = {}
+        for depth, fine in enumerate(LEVELS):
+            at = lambda f: F.floor(F.col("place") / (LEVELS[-1] // f)).cast("bigint")
+            inside = here
+            if depth:
+                if not above:
                     break
-                left[s] -= t
-            else:
-                stops[s] = []  # all of this range fit
-    # Before the last range all are taken; within it, a handful of documents, they are taken in order while more than half of the next one fits.
-    stop = spark.createDataFrame([(s, v[k] if len(v) > k else None, k, float(left[s])) for s, v in stops.items() for k in range(len(LEVELS))] or [], "source string, stop bigint, depth int, room double")
-    wide = stop.groupBy("source").agg(*[F.max(F.when(F.col("depth") == k, F.col("stop"))).alias(f"s{k}") for k in range(len(LEVELS))], F.max("room").alias("room"))
-    r = ranked.join(F.broadcast(wide), "source", "left")
-    place = [F.floor((F.col("rank") + 128) * fine) for fine in LEVELS]
-    before, edge = F.lit(False), F.lit(True)
-    for k in range(len(LEVELS)):
-        before = before | (edge & (F.col(f"s{k}").isNull() | (place[k] < F.col(f"s{k}"))))
-        edge = edge & (place[k] == F.col(f"s{k}"))
-    r = r.withColumn("taken", F.coalesce(F.col("rank").isNotNull() & before, F.lit(False))).withColumn("edge", F.coalesce(F.col("rank").isNotNull() & edge, F.lit(False)))
-    order = Window.partitionBy("source").orderBy("rank", "key").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    edges = r.where("edge").withColumn("sum", F.sum("tokens").over(order)).withColumn("taken", F.col("sum") - F.col("tokens") / 2 <= F.col("room"))
-    names = ["key", "source", "tokens", "copies", "taken"]
-    out = r.where("not edge").select(*names).unionByName(edges.select(*names)).withColumn("copies", F.col("copies") + F.col("taken").cast("int"))
-    return out.where("copies > 0").select("key", "source", "tokens", "copies")
+                inside = here.where(at(LEVELS[depth - 1]) == F.try_element_at(F.create_map(*[F.lit(x) for s, v in above.items() for x in (s, v)]), F.col("source")))
+            sums: dict[str, list[tuple[int, int]]] = {}
+            for r in inside.groupBy("source", at(fine).alias("at")).agg(F.sum("tokens").alias("t")).collect():  # sources times some thousand ranges
+                sums.setdefault(r["source"], []).append((r["at"], r["t"]))
+            for s in [*above] if depth else sorted(going):
+                above.pop(s, None)
+                for a, t in sorted(sums.get(s, [])):
+                    if t > left[s]:
+                        above[s] = a
+                        break
+                    left[s] -= t
+        for s in sorted(going):
+            spans[s].append((after[s], above.get(s, last), most[s]))
+            after[s], most[s] = above.get(s, last), left[s]
+        going = {s for s in above if left[s] > enough[s] and left[s] >= 1}
+    return spans
 
 
 def reached(mixed: DataFrame, docs: DataFrame, targets: DataFrame, source: str, tokens: str) -> DataFrame:

@@ -50,3 +50,24 @@ def test_equal_documents(spark):
     df = spark.range(1000).selectExpr("id", "'a' as source", "10 as tokens")
     m = mixing.mixture(df, targets(spark, ("a", 1.0, 3)), "id", "source", "tokens", total=25_000)
     assert m.selectExpr("sum(copies)", "min(copies)", "max(copies)").first() == (2500, 2, 3)
+
+
+def test_long_documents_are_passed_over(spark):
+    # Very uneven lengths: in each source a few documents hold most tokens. The shares stay within the tolerance and one short document.
+    r = random.Random(12)
+    rows = [(k, r.choice("ab"), int(min(60_000, 20 / r.random() ** 1.2))) for k in range(3000)]
+    df = spark.createDataFrame(rows, "id bigint, source string, tokens int")
+    t = targets(spark, ("a", 0.7, 2), ("b", 0.3, 3))
+    m = mixing.mixture(df, t, "id", "source", "tokens", total=0.9 * sum(n for *_, n in rows)).cache()
+    got = {x["source"]: x["actual_share"] for x in mixing.reached(m, df, t, "source", "tokens").collect()}
+    assert abs(got["a"] - 0.7) < 0.003 and abs(got["b"] - 0.3) < 0.003
+    assert m.where("source = 'a' and copies > 2 or copies > 3").count() == 0
+
+
+def test_selection_by_hand(spark):
+    fine = mixing.LEVELS[-1]
+    rows = [("a", 4, fine), ("a", 50, 2 * fine), ("a", 3, 3 * fine), ("a", 9, 4 * fine), ("a", 2, 5 * fine), ("b", 5, fine)]
+    d = spark.createDataFrame(rows, "source string, tokens int, place bigint")
+    spans = mixing.selected(d, {"a": 10.0, "b": 7.0, "c": 1.0}, {"a": 0.0, "b": 0.0, "c": 0.0})
+    taken = [t for s, t, p in rows if any(a < p < b and t <= m for a, b, m in spans[s])]
+    assert taken == [4, 3, 2, 5]
