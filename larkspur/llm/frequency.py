@@ -1,8 +1,8 @@
 """Problem 7: how often every distinct term occurs, and in how many records, by recursive radix spilling.
 
-Terms are counted inside each Arrow partition first (DuckDB), so that a term moves at most once per task, however common it is. The shuffle splits the
+Terms are counted inside each Arrow partition first (DuckDB), so that a term moves once per PARTIAL counts of a task, however common it is. The shuffle splits the
 counts by hash bits; a task writes its share to disk in FAN buckets by further bits, splits buckets that are still too large by the bits after
-those, and aggregates each bucket out-of-core in DuckDB. Small shares never touch the disk. Every term and every record is counted.
+those, and aggregates each bucket out-of-core in DuckDB. Shares of up to AT_ONCE counts need no disk. Every term and every record is counted.
 
 Defined cases: null texts are no records; texts without letters are records without terms; null values are no terms; an empty table gives an
 empty result, and no term is common or rare in it; very long texts are split up whole.
@@ -18,18 +18,25 @@ from pyspark.sql import functions as F
 from larkspur.llm.duck import connection
 
 COUNTS = "term string, h bigint, occurrences bigint, records bigint"
-#: Buckets per split (4 bits of the hash), and the rows up to which a bucket is aggregated at once.
-BITS, AT_ONCE = 4, 1_000_000
+#: Buckets per split (6 bits of the hash), and the counts up to which a bucket is aggregated at once.
+BITS, AT_ONCE = 6, 32_768
+#: The counts that a task collects before it adds up and sends on what it has.
+PARTIAL = 1_000_000
 FAN = 1 << BITS
 
 
-def count_words(texts: DataFrame, text: str = "text") -> DataFrame:
+def count_words(texts: DataFrame, text: str = "text", partial: int = PARTIAL) -> DataFrame:
     """Partial counts (term, h, occurrences, records) of the longest runs of letters in the lower-cased texts; each row is a record."""
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
         with connection() as (con, _):
+
+            def sent() -> Iterator:
+                yield from con.sql("select term, sum(n)::bigint as n, sum(r)::bigint as r from part group by term").to_arrow_table().to_batches(max_chunksize=10_000)
+                con.execute("truncate part")
+
             con.execute("create table part (term varchar, n bigint, r bigint)")
             for b in batches:
                 con.register("batch", pa.Table.from_batches([b]))
@@ -37,9 +44,9 @@ def count_words(texts: DataFrame, text: str = "text") -> DataFrame:
                     "insert into part select term, sum(n), count(*) from (select i, term, count(*) as n from (select row_number() over () as i, unnest(regexp_extract_all(lower(text), '\\p{L}+')) as term from batch) group by i, term) group by term"
                 )
                 con.unregister("batch")
-                if con.execute("select count(*) from part").fetchall()[0][0] > AT_ONCE:
-                    con.execute("create or replace table part as select term, sum(n)::bigint as n, sum(r)::bigint as r from part group by term")
-            yield from con.sql("select term, sum(n)::bigint as n, sum(r)::bigint as r from part group by term").to_arrow_table().to_batches(max_chunksize=10_000)
+                if con.execute("select count(*) from part").fetchall()[0][0] > partial:
+                    yield from sent()
+            yield from sent()
 
     d = texts.where(F.col(f"`{text}`").isNotNull()).select(F.col(f"`{text}`").alias("text"))
     return d.mapInArrow(run, "term string, occurrences bigint, records bigint").select("term", F.xxhash64("term").alias("h"), "occurrences", "records")

@@ -1,8 +1,8 @@
 """Problem 10: texts cut off by a field limit or a broken transfer.
 
 The corpus itself says what a cut looks like. Its vocabulary is a table of tokens with how often each stands at all and at the end of a clause; the vocabulary's
-trie is a table of nodes, each a proper prefix of known tokens with the number of tokens and occurrences below it. A text's final token that is unknown but a
-node of the trie was cut inside a word or link; one that is known but all but never ends a clause was cut inside a sentence. A source's field limits show as
+trie is a table of nodes, each a proper prefix of known tokens with the occurrences below it. A text's final token that is unknown, or all but unknown beside what
+is below it, but a node of the trie was cut inside a word or link; one that is known but all but never ends a clause was cut inside a sentence. A source's field limits show as
 lengths that far more texts have than the lengths around them; at such a length, and before a mark of omission, weaker evidence is enough.
 
 Vocabulary, trie and lengths come from all texts (map-side combined counts; nothing is sampled, collected or broadcast by hand). Distinct final tokens are looked up once
@@ -19,8 +19,9 @@ from pyspark.sql import functions as F
 
 from larkspur.session import cut
 
-#: A token is known from so many occurrences away from a text's end; a node of the trie stands for known tokens below it.
-KNOWN = 2
+#: A token is known from so many occurrences away from a text's end, and from such a share of the occurrences below it in the trie: in a large corpus pieces of common words stand
+#: here and there too. A node of the trie stands for tokens with at least KNOWN occurrences.
+KNOWN, SHARE = 2, 0.005
 #: The greatest share of a known token's occurrences that end a clause, for it to be a cut: without more evidence, at a field limit, before a mark of omission.
 ENDS, ENDS_LIMIT, ENDS_MARK = 0.01, 0.2, 0.2
 #: A length is a field limit if so many texts of a source have it, and so many times the mean of the RANGE lengths on either side.
@@ -103,9 +104,10 @@ def judged(df: DataFrame, key: str, text: str, source: str) -> DataFrame:
     lim = limits(t)
     j = open_.join(seen, "token", "left").alias("t").join(lim.alias("l"), (F.col("t.chars") == F.col("l.chars")) & F.col("t.source").eqNullSafe(F.col("l.source")), "left")
     bound = F.greatest(F.lit(ENDS), F.when(F.col("limit"), F.lit(ENDS_LIMIT)).otherwise(0.0), F.when(F.col("mark"), F.lit(ENDS_MARK)).otherwise(0.0))
+    piece = (F.col("below") > 0) & ((F.col("n") < KNOWN) | (F.col("n") < SHARE * F.col("below")))
     why = (
         F.when(F.col("state") == "stub", "link")
-        .when((F.col("n") < KNOWN) & (F.col("below") > 0), "word")
+        .when(piece, "word")
         .when((F.col("n") >= KNOWN) & ((F.col("ends") + 0.5) / (F.col("n") + 1.0) < bound), "sentence")
         .when(F.col("broken"), "mark")
     )

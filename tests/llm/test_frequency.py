@@ -18,7 +18,7 @@ def test_words_against_brute_force(spark):
         k.update(set(found))
     df = spark.createDataFrame([(t,) for t in texts], "text string").repartition(5)
     for at_once in (1_000_000, 40, 1):  # in memory, split once, split again and again
-        got = {r["term"]: (r["occurrences"], r["records"]) for r in frequency.radix_sum(frequency.count_words(df), at_once).collect()}
+        got = {r["term"]: (r["occurrences"], r["records"]) for r in frequency.radix_sum(frequency.count_words(df, partial=at_once), at_once).collect()}
         assert got == {t: (n[t], k[t]) for t in n}
 
 

@@ -64,6 +64,16 @@ def test_trie(spark):
     assert dict(truncation.trie(v).collect()) == {"c": 5, "ca": 5, "car": 2}
 
 
+def test_pieces_that_stand_elsewhere_too(spark):
+    # In a large corpus a piece of a common word stands within texts now and then; beside the word it is still a piece, and a rare word with few below it none.
+    r = random.Random(2)
+    rows = [(k, sentences(r, 6), "news") for k in range(700)] + [(900 + k, f"The baker repaired the engi and sta here. {sentences(r, 2)}", "news") for k in range(3)]
+    rows += [(950 + k, "The bake oven and the bakes stand here.", "news") for k in range(3)]
+    rows += [(1000, "My sister carried the engi", "news"), (1001, "A tourist carried a bicycle near the sta", "news"), (1002, "The baker painted the oven", "news")]
+    got = judged(spark, rows)
+    assert (got[1000], got[1001], got[1002]) == ("word", "word", None) and sum(w is not None for k, w in got.items() if k < 1000) == 0
+
+
 def test_empty_and_long(spark):
     assert judged(spark, []) == {}
     assert judged(spark, [(1, "word " * 100_000 + "end.", None), (2, "日" * 50_000 + "。", "x")]) == {1: None, 2: None}
