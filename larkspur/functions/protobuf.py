@@ -6,9 +6,11 @@ into each other, so batches are encoded in Arrow UDFs.
 
 from __future__ import annotations
 
+import functools
 import struct
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, FloatType, LongType, MapType, StringType, StructType
@@ -150,16 +152,93 @@ def _table() -> list[int]:
     return out
 
 
-TABLE = _table()
+TABLE = np.array(_table(), np.uint32)
+#: Bytes that are summed side by side in blocks of a long record, and the columns of records taken at once.
+BLOCK = 64
+
+
+@functools.cache
+def _behind(n: int) -> np.ndarray:
+    """What n zero bytes make of a checksum, for each value of each of its four bytes [byte, value]."""
+    c = np.stack([np.arange(256, dtype=np.uint32) << np.uint32(8 * k) for k in range(4)])
+    for _ in range(n):
+        c = TABLE[c & np.uint32(0xFF)] ^ c >> np.uint32(8)
+    return c
+
+
+def _columns(rows: np.ndarray, c: np.ndarray) -> np.ndarray:
+    """The checksums c, each carried on over its row of bytes."""
+    for k in range(rows.shape[1]):
+        c = TABLE[(c ^ rows[:, k]) & np.uint32(0xFF)] ^ c >> np.uint32(8)
+    return c
 
 
 def crc32c(data: bytes) -> int:
+    """The checksum of one record: blocks are summed side by side, then put together by what the blocks behind them make of them."""
+    whole = len(data) - len(data) % BLOCK
     c = 0xFFFFFFFF
-    for b in data:
-        c = TABLE[(c ^ b) & 0xFF] ^ c >> 8
+    if whole:
+        sums = _columns(np.frombuffer(data, np.uint8, whole).reshape(-1, BLOCK), np.zeros(whole // BLOCK, np.uint32))
+        t = _behind(BLOCK).tolist()
+        for s in sums.tolist():
+            c = int(t[0][c & 0xFF] ^ t[1][c >> 8 & 0xFF] ^ t[2][c >> 16 & 0xFF] ^ t[3][c >> 24]) ^ s
+    table = _table_list()
+    for b in data[whole:]:
+        c = table[(c ^ b) & 0xFF] ^ c >> 8
     return c ^ 0xFFFFFFFF
 
 
+@functools.cache
+def _table_list() -> list[int]:
+    return TABLE.tolist()
+
+
+def crc32c_many(records: list[bytes]) -> np.ndarray:
+    """The checksums of records, in batches of arrays: those of like length go on together, byte column by byte column; long ones on their own."""
+    sizes = np.array([len(r) for r in records], np.int64)
+    out = np.zeros(len(records), np.uint32)
+    order = np.argsort(sizes, kind="stable")
+    for at in range(0, len(order), 4096):
+        some = order[at : at + 4096]
+        if sizes[some[-1]] > 4096:
+            out[some] = [crc32c(records[i]) for i in some]
+            continue
+        wide = int(sizes[some[-1]])
+        flat = np.frombuffer(b"".join(records[i].ljust(wide, b"\0") for i in some), np.uint8).reshape(len(some), wide)
+        c, begun = np.full(len(some), 0xFFFFFFFF, np.uint32), 0
+        for k in range(wide):
+            while begun < len(some) and sizes[some[begun]] <= k:  # shorter ones have ended; they stand first
+                begun += 1
+            c[begun:] = TABLE[(c[begun:] ^ flat[begun:, k]) & np.uint32(0xFF)] ^ c[begun:] >> np.uint32(8)
+        out[some] = c ^ np.uint32(0xFFFFFFFF)
+    return out
+
+
+def varints(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of all values (64 bits) one after the other, and the number of bytes of each."""
+    v = values.astype(np.int64).view(np.uint64)
+    size = np.ones(len(v), np.int64)
+    for k in range(1, 10):
+        size += v >= np.uint64(1 << 7 * k)
+    starts = np.cumsum(size) - size
+    out = np.zeros(int(size.sum()), np.uint8)
+    for k in range(int(size.max(initial=0))):
+        there = size > k
+        part = (v[there] >> np.uint64(7 * k)).astype(np.uint8) & np.uint8(0x7F)
+        out[starts[there] + k] = part | np.where(size[there] > k + 1, np.uint8(0x80), np.uint8(0))
+    return out, size
+
+
+def packed_lists(lists: list) -> list[bytes]:
+    """Each list of integers (null: an empty one) as packed varints."""
+    n = np.array([0 if x is None else len(x) for x in lists], np.int64)
+    flat = np.concatenate([np.asarray(x, np.int64) for x in lists if x is not None and len(x)] or [np.zeros(0, np.int64)])
+    data, size = varints(flat)
+    ends = np.concatenate([[0], np.cumsum(size)])[np.concatenate([[0], np.cumsum(n)])].tolist()
+    data = data.tobytes()
+    return [data[a:b] for a, b in zip(ends, ends[1:], strict=False)]
+
+
 def mask(c: int) -> int:
     """Turned right by 15 bits and moved by the mask."""
     return ((c >> 15 | c << 17) + MASK) & 0xFFFFFFFF
@@ -176,6 +255,13 @@ def frame(data: bytes) -> bytes:
     return head + struct.pack("<I", mask(crc32c(head))) + data + struct.pack("<I", mask(crc32c(data)))
 
 
+def framed(records: list[bytes]) -> list[bytes]:
+    """Records in their frames; the checksums of all are made together."""
+    heads = [struct.pack("<Q", len(r)) for r in records]
+    sums = [mask(c) for c in crc32c_many(heads + records).tolist()]
+    return [h + struct.pack("<I", a) + r + struct.pack("<I", b) for h, r, a, b in zip(heads, records, sums[: len(records)], sums[len(records) :], strict=True)]
+
+
 def frames(data: bytes) -> Iterator[bytes]:
     """The records of a file; a wrong checksum or a cut record is an error."""
     at = 0
@@ -197,14 +283,20 @@ def frames(data: bytes) -> Iterator[bytes]:
 
 @F.pandas_udf(BinaryType())
 def term_example(pos: pd.Series, text: pd.Series) -> pd.Series:
-    """Example{pos, text} from two columns of id lists."""
-    return pd.Series([example({"pos": (INTS, list(p) if p is not None else []), "text": (INTS, list(t) if t is not None else [])}) for p, t in zip(pos, text, strict=True)], dtype=object)
+    """Example{pos, text} from two columns of id lists; the ids of a batch become bytes at once."""
+    named = lambda name, p: field(1, field(1, name) + field(2, field(INTS, field(1, p) if p else b"")))
+    return pd.Series([field(1, named(b"pos", p) + named(b"text", t)) for p, t in zip(packed_lists(list(pos)), packed_lists(list(text)), strict=True)], dtype=object)
 
 
 @F.pandas_udf(LongType())
 def masked_crc32c(data: pd.Series) -> pd.Series:
     """The masked checksum of a binary column, null for null."""
-    return pd.Series([None if d is None else mask(crc32c(d)) for d in data], dtype="Int64")
+    there = data.notna()
+    c = crc32c_many([bytes(d) for d in data[there]]).astype(np.uint64)
+    masked = ((c >> np.uint64(15) | c << np.uint64(17)) + np.uint64(MASK) & np.uint64(0xFFFFFFFF)).astype(np.int64)
+    out = pd.Series([None] * len(data), dtype="Int64")
+    out[there.to_numpy()] = masked
+    return out
 
 
 @F.pandas_udf(FEATURES)

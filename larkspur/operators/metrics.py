@@ -31,6 +31,13 @@ def observe_rows(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
     return df.observe(o, F.count(F.lit(1)).alias("rows")), o
 
 
+def scoring_counters(docs: DataFrame, scored: DataFrame, errors: int = 0, priority: str = "priority") -> dict[str, int]:
+    """A scoring job's counters: ERROR, ANNOTATED_SENTENCES, FILTER_OUT (annotated, but without any match) and PRIORITY_n. Both tables are read, so they should be kept."""
+    by = {r["counter"]: r["n"] for r in priority_counts(scored, priority).collect()}  # a row a priority
+    annotated = docs.count()
+    return {"ERROR": errors, "ANNOTATED_SENTENCES": annotated, "FILTER_OUT": annotated - sum(by.values()), **by}
+
+
 def priority_counts(df: DataFrame, priority: str = "priority") -> DataFrame:
     """counter (PRIORITY_n) and n."""
     return df.groupBy(F.concat(F.lit("PRIORITY_"), F.col(priority).cast("string")).alias("counter")).agg(F.count(F.lit(1)).alias("n"))

@@ -44,11 +44,11 @@ def main(args: list[str] | None = None) -> None:
     annotator = RuleAnnotator() if a.annotator == "rules" else HttpAnnotator(a.annotator)
     langs = tuple(a.lang or ())
     if a.job == "extract-frames":
-        pipelines.extract_frames(spark, a.tweets_path, a.results_path, a.lexicon, langs, annotator)
+        print(pipelines.extract_frames(spark, a.tweets_path, a.results_path, a.lexicon, langs, annotator))
     elif a.job == "extract-text":
         pipelines.extract_text(spark, StorageConfig.load(a.output), a.tweets_path, a.text_path, langs)
     elif a.job == "blobs-to-frames":
-        pipelines.blobs_to_frames(spark, StorageConfig.load(a.input), StorageConfig.load(a.output), a.lexicon, annotator)
+        print(pipelines.blobs_to_frames(spark, StorageConfig.load(a.input), StorageConfig.load(a.output), a.lexicon, annotator))
     elif a.job == "dictionaries":
         print(*pipelines.calculate_stats(spark, a.input, StorageConfig.load(a.output), annotator))
     elif a.job == "encode":
@@ -56,7 +56,7 @@ def main(args: list[str] | None = None) -> None:
     elif a.job == "text-to-naf":
         print(pipelines.text_to_naf(spark, a.input, a.output, annotator))
     elif a.job == "frame-dump":
-        pipelines.frame_dump(spark, a.input, a.output)
+        print(pipelines.frame_dump(spark, a.input, a.output))
     elif a.job == "lexicon":
         wordnet = read_tsv(spark, a.wordnet, ["name", "syn_offset", "pos"]).selectExpr("name", "cast(syn_offset as bigint) as syn_offset", "pos")
         pipelines.write_lexicon(*build_lexicon(read_relationships(spark, a.input), wordnet), a.output)

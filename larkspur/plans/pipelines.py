@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from larkspur.config import StorageConfig
-from larkspur.operators import encode, match, terms
+from larkspur.operators import encode, match, metrics, terms
 from larkspur.operators.annotate import Annotator, HttpAnnotator, RuleAnnotator
 from larkspur.operators.frames import frame_sentences
 from larkspur.operators.lexicon import triple_index
@@ -57,33 +57,49 @@ def extract_text(spark: SparkSession, config: StorageConfig, tweets: str | None
     named.write_named(lines, config)
 
 
-def extract_frames(spark: SparkSession, tweets: str, results: str, lexicon: str | None = None, langs: tuple[str, ...] = ("en",), annotator: Annotator | None = None) -> None:
-    """Tweets with images, scored by the lexicon: all to results/frames, those of the highest priority to results/top_frames, as text, priority and matches."""
+def errors_of(annotator: Annotator) -> int:
+    """Texts that an annotator could not do, so far."""
+    e = getattr(annotator, "errors", None)
+    return int(e.value) if e is not None else 0
+
+
+def extract_frames(spark: SparkSession, tweets: str, results: str, lexicon: str | None = None, langs: tuple[str, ...] = ("en",), annotator: Annotator | None = None) -> dict[str, int]:
+    """Tweets with images, scored by the lexicon: all to results/frames, those of the highest priority to results/top_frames, as text, priority and matches.
+
+    Gives the job's counters, a null counter for each output among them."""
+    annotator = annotator or RuleAnnotator()
     t = with_images(filter_tweets(parse_tweets(read_lines(spark, tweets)), langs))
-    docs = (annotator or RuleAnnotator()).annotate(with_ids(tweet_text(t), "text")).persist(StorageLevel.MEMORY_AND_DISK)
+    docs = annotator.annotate(with_ids(tweet_text(t), "text")).persist(StorageLevel.MEMORY_AND_DISK)
     _, relations, synsets = read_lexicon(spark, lexicon or results)
     scored = docs.select("doc_id", "raw_text").join(match.score_v1(match.document_refs(docs), relations, synsets), "doc_id").select("raw_text", "priority", "matches").persist(StorageLevel.MEMORY_AND_DISK)
+    nulls = {}
     try:
-        tsv.write_tsv(scored, f"{results}/frames")
-        tsv.write_tsv(split_priority(scored)[1], f"{results}/top_frames")
+        for out, part in ((f"{results}/frames", scored), (f"{results}/top_frames", split_priority(scored)[1])):
+            part, seen = metrics.observe_nulls(part, out)
+            tsv.write_tsv(part, out)
+            nulls[metrics.null_counter_name(out)] = seen.get["rows_with_null"]
+        return metrics.scoring_counters(docs, scored, errors_of(annotator)) | nulls
     finally:
         scored.unpersist()
         docs.unpersist()
 
 
-def blobs_to_frames(spark: SparkSession, source: StorageConfig, target: StorageConfig, lexicon: str, annotator: Annotator | None = None, tuples: bool = False) -> None:
-    """Text files to frames' sentences: below the highest priority to files named verb, others to high-priority-verb. tuples: in brackets."""
+def blobs_to_frames(spark: SparkSession, source: StorageConfig, target: StorageConfig, lexicon: str, annotator: Annotator | None = None, tuples: bool = False) -> dict[str, int]:
+    """Text files to frames' sentences: below the highest priority to files named verb, others to high-priority-verb. tuples: in brackets. Gives the job's counters."""
+    annotator = annotator or RuleAnnotator()
     lines = open_text_of(spark, source)
-    docs = (annotator or RuleAnnotator()).annotate(with_ids(lines, "value")).persist(StorageLevel.MEMORY_AND_DISK)
+    docs = annotator.annotate(with_ids(lines, "value")).persist(StorageLevel.MEMORY_AND_DISK)
     raw, _, synsets = read_lexicon(spark, lexicon)
-    scores = match.score_v2(match.document_refs(docs), triple_index(raw), synsets)
+    scores = match.score_v2(match.document_refs(docs), triple_index(raw), synsets).persist(StorageLevel.MEMORY_AND_DISK)
     out = frame_sentences(docs.join(scores, "doc_id")).persist(StorageLevel.MEMORY_AND_DISK)
     line = named.tuple_string(F.col("sentence")) if tuples else F.col("sentence")
     try:
         for name, part in zip(("verb", "high-priority-verb"), split_priority(out), strict=True):
             named.write_named(part.select(line.alias("value")), replace(target, prefix=name))
+        return metrics.scoring_counters(docs, scores, errors_of(annotator)) | {"COLLECTED_FRAMES": out.count()}
     finally:
         out.unpersist()
+        scores.unpersist()
         docs.unpersist()
 
 
@@ -109,7 +125,7 @@ def calculate_stats(spark: SparkSession, source: StorageConfig | str, target: St
         for name, key, least in ((WORDS, "lemma", WORD_COUNT), (POS, "pos", None)):
             if name in missing:
                 d = encode.dictionary(terms.count_terms(t, key, least), key).orderBy("id")
-                named.write_named(d.select(F.concat_ws("\t", "token", F.col("n").cast("string"))), replace(target, prefix=name, suffix="", rows_per_part=0, compress=False))
+                named.write_named(d.select(F.concat_ws("\t", "token", F.col("n").cast("string"))), replace(target, prefix=name, suffix="", rows_per_part=0, compress=False), ordered=True)
     finally:
         t.unpersist()
     return missing
@@ -141,9 +157,12 @@ def text_to_naf(spark: SparkSession, folder: str, out: str, annotator: Annotator
         lines.unpersist()
 
 
-def frame_dump(spark: SparkSession, folder: str, out: str, leading_line: bool = False) -> None:
-    """The frames of a folder's NAF files as sentences with priority 0. leading_line: an empty first line."""
-    s = frame_sentences(read_naf(spark, folder).withColumn("priority", F.lit(0))).select(F.col("sentence").alias("value"))
+def frame_dump(spark: SparkSession, folder: str, out: str, leading_line: bool = False) -> dict[str, int]:
+    """The frames of a folder's NAF files as sentences with priority 0, by file and place. leading_line: an empty first line. Gives the job's counters."""
+    s, seen = metrics.observe_rows(frame_sentences(read_naf(spark, folder).withColumn("priority", F.lit(0))), "COLLECTED_FRAMES")
+    s = s.select(F.lit(1).alias("k"), "doc_id", "place", F.col("sentence").alias("value"))
     if leading_line:
-        s = spark.createDataFrame([("",)], "value string").unionByName(s)
-    s.coalesce(1).write.text(out)
+        s = s.unionByName(spark.createDataFrame([(0, 0, 0, "")], "k int, doc_id bigint, place int, value string"))
+    # The files are read in their own tasks; only sorting and writing the sentences is one.
+    s.repartition(1).sortWithinPartitions("k", "doc_id", "place").select("value").write.text(out)
+    return {"COLLECTED_FRAMES": seen.get["rows"]}

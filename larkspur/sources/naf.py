@@ -10,6 +10,7 @@ from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from larkspur.schema import DOC
 from larkspur.sources.named import local_path
@@ -98,8 +99,10 @@ def write_naf(docs: DataFrame, folder: str) -> DataFrame:
 def read_relationships(spark: SparkSession, path: str) -> DataFrame:
     """image_id, relationships of a JSON array of images, plain or gzip; image_id is the place in the array."""
     s = "relationships ARRAY<STRUCT<predicate:STRING,synsets:ARRAY<STRING>,object:STRUCT<synsets:ARRAY<STRING>>,subject:STRUCT<synsets:ARRAY<STRING>>>>"
-    whole = spark.read.text(path, wholetext=True)
-    return whole.select(F.posexplode(F.from_json("value", f"ARRAY<STRUCT<{s.replace(' ', ':', 1)}>>")).alias("image_id", "i")).select(F.col("image_id").cast("bigint").alias("image_id"), "i.relationships")
+    # The array is read element by element, so the file needn't fit in memory; one array is one task's, whatever its size.
+    images = spark.read.schema(s).option("multiLine", "true").json(path).withColumn("path", F.col("_metadata.file_path")).withColumn("at", F.monotonically_increasing_id())
+    place = F.row_number().over(Window.partitionBy("path").orderBy("at")) - 1
+    return images.select(place.cast("bigint").alias("image_id"), "relationships")
 
 
 __all__ = ["DOC", "naf_text", "numbered_name", "read_naf", "read_relationships", "write_naf"]

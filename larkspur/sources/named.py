@@ -2,7 +2,7 @@
 
 A task's first file is prefix[-task-tasks]suffix, its next ones have -1, -2 ... before the suffix; the task's part is there only if there are several tasks. A file is full with exactly so many rows as the limit, and the
 next is opened at once, so a whole multiple leaves an empty last file. In mode text rows have a line end between them and none at the end; in mode raw bytes stand one after the other. Files that exist
-already are an error.
+already are an error. With limited naming, files are task-part, tasks counted from 1, each row has its line end, and the first file is one row short of the limit.
 """
 
 from __future__ import annotations
@@ -45,6 +45,7 @@ class NamedWriter(DataSourceWriter):
         self.gzip = options.get("compress", "false").lower() == "true"
         self.suffix = options.get("suffix", ".gz" if self.gzip else ".txt")
         self.rows, self.raw, self.tasks = int(options.get("rowsperpart", 1_000_000)), options.get("kind", "text") == "raw", int(options.get("tasks", 1))
+        self.limited = options.get("kind") == "limited"
 
     def write(self, iterator: Iterator) -> Written:
         from pyspark import TaskContext
@@ -54,12 +55,22 @@ class NamedWriter(DataSourceWriter):
         files, part, n, out = [], 0, 0, None
 
         def start():
-            name = part_name(self.prefix, self.suffix, part, task, self.tasks)
+            name = f"{task + 1}-{part}" if self.limited else part_name(self.prefix, self.suffix, part, task, self.tasks)
             at = os.path.join(stage, name)
             files.append((at, os.path.join(self.folder, name)))
             return gzip.open(at, "wb") if self.gzip else open(at, "wb")
 
         out = start()
+        if self.limited:
+            for row in iterator:
+                n += 1
+                if n % self.rows == 0:
+                    out.close()
+                    part = n // self.rows
+                    out = start()
+                out.write(str(row[0]).encode() + b"\r\n")
+            out.close()
+            return Written(files)
         for row in iterator:
             data = row[0] if isinstance(row[0], (bytes, bytearray)) else str(row[0]).encode()
             out.write((b"" if self.raw or n == 0 else b"\n") + bytes(data))
@@ -108,24 +119,26 @@ class NamedText(DataSource):
         return NamedWriter(self.options)
 
 
-def write_named(df: DataFrame, config: StorageConfig, kind: str = "text", tasks: int = 1) -> None:
-    """The one column of df as the configuration's named files; tasks writers."""
+def write_named(df: DataFrame, config: StorageConfig, kind: str = "text", tasks: int = 1, ordered: bool = False) -> None:
+    """The one column of df as the configuration's named files; tasks writers. What comes before the writers keeps its own tasks.
+
+    ordered: df is sorted, and one writer takes its parts in their order."""
     spark = df.sparkSession
     spark.dataSource.register(NamedText)
     os.makedirs(local_path(config.folder), exist_ok=True)
-    out = df.coalesce(tasks) if tasks == 1 else df.repartition(tasks)
+    out = df.coalesce(1) if ordered else df.repartition(tasks)
     w = out.write.format("named-text").mode("append").option("path", config.folder).option("prefix", config.prefix).option("suffix", config.suffix).option("kind", kind)
     w.option("rowsPerPart", str(config.rows_per_part)).option("compress", str(config.compress).lower()).option("tasks", str(tasks)).save()
 
 
-def _found(spark: SparkSession, config: StorageConfig) -> list:
+def found(spark: SparkSession, config: StorageConfig) -> list:
     p = spark._jvm.org.apache.hadoop.fs.Path(f"{config.folder}/{config.prefix}*")
     return list(p.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(p) or [])
 
 
 def output_exists(spark: SparkSession, config: StorageConfig) -> bool:
     """Whether any file's name begins with the prefix: word.dict is there if word.dict-1 is."""
-    return bool(_found(spark, config))
+    return bool(found(spark, config))
 
 
 def tuple_string(*cols) -> F.Column:
@@ -142,12 +155,15 @@ def chunk_sizes(files: DataFrame, name: str = "name", size: str = "length") -> D
 def list_chunks(spark: SparkSession, config: StorageConfig) -> DataFrame:
     """chunk_sizes of the configuration's files with its prefix."""
     # Listed by the file system: Spark's own sources leave empty files out.
-    rows = [(f.getPath().getName(), f.getLen()) for f in _found(spark, config) if f.isFile()]
+    rows = [(f.getPath().getName(), f.getLen()) for f in found(spark, config) if f.isFile()]
     files = spark.createDataFrame(rows, "name string, length bigint")
     return chunk_sizes(files)
 
 
 def assemble(spark: SparkSession, config: StorageConfig, out: str) -> None:
-    """The lines of the configuration's files with its prefix as one gzip file in the folder out, in the order of the names and lines."""
-    files = spark.read.text(f"{config.folder}/{config.prefix}*", wholetext=True).select("value", F.col("_metadata.file_name").alias("name"))
-    files.coalesce(1).sortWithinPartitions("name").select(F.regexp_replace("value", r"\n\z", "").alias("value")).write.option("compression", "gzip").text(out)
+    """The lines of the configuration's files with its prefix as one gzip file in the folder out, in the order of the names and lines.
+
+    Files are read in splits and sorted by name and place; only the last writing is one task."""
+    lines = spark.read.option("lineSep", "\n").text(f"{config.folder}/{config.prefix}*")
+    lines = lines.select("value", F.col("_metadata.file_name").alias("name"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("at"))
+    lines.orderBy("name", "block", "at").select("value").coalesce(1).write.option("compression", "gzip").text(out)

@@ -10,10 +10,11 @@ import os
 import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import islice
 
 from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceWriter, InputPartition, WriterCommitMessage
 
-from larkspur.functions.protobuf import crc32c, frame, mask, unmask
+from larkspur.functions.protobuf import crc32c_many, framed, unmask
 from larkspur.sources.named import local_path
 
 
@@ -31,18 +32,35 @@ class RecordReader(DataSourceReader):
         return [File(f) for f in sorted(found) if not os.path.basename(f).startswith(("_", "."))]
 
     def read(self, partition: File) -> Iterator:
-        """Record by record: a file needn't fit in memory."""
+        """Some thousand records, or some MB, at a time: a file needn't fit in memory. A head that isn't sound is found before its length is trusted beyond the file's."""
         import struct
 
+        left = os.path.getsize(partition.path)
         with open(partition.path, "rb") as f:
-            while head := f.read(12):
-                if len(head) < 12 or unmask(struct.unpack("<I", head[8:])[0]) != crc32c(head[:8]):
-                    raise ValueError(f"no record's head in {partition.path}")
-                (n,) = struct.unpack("<Q", head[:8])
-                body, tail = f.read(n), f.read(4)
-                if len(tail) < 4 or struct.unpack("<I", tail)[0] != mask(crc32c(body)):
-                    raise ValueError(f"a cut or wrong record in {partition.path}")
-                yield (body,)
+            more = True
+            while more:
+                heads, bodies, sums, size = [], [], [], 0
+                while len(bodies) < 4096 and size < 1 << 22:
+                    head = f.read(12)
+                    if not head:
+                        more = False
+                        break
+                    (n,) = struct.unpack("<Q", head[:8]) if len(head) == 12 else (left,)
+                    if n > left - 16:
+                        raise ValueError(f"no record's head in {partition.path}")
+                    body, tail = f.read(n), f.read(4)
+                    left -= n + 16
+                    heads.append(head)
+                    bodies.append(body)
+                    sums.append(struct.unpack("<I", tail)[0])
+                    size += n
+                for head, c in zip(heads, crc32c_many([h[:8] for h in heads]).tolist(), strict=True):
+                    if unmask(struct.unpack("<I", head[8:])[0]) != c:
+                        raise ValueError(f"no record's head in {partition.path}")
+                for body, m, c in zip(bodies, sums, crc32c_many(bodies).tolist(), strict=True):
+                    if unmask(m) != c:
+                        raise ValueError(f"a wrong record in {partition.path}")
+                    yield (body,)
 
 
 @dataclass
@@ -63,8 +81,8 @@ class RecordWriter(DataSourceWriter):
         name = f"part-{TaskContext.get().partitionId():05d}.tfrecord"
         at = os.path.join(self.path, f"_{uuid.uuid4().hex}")
         with open(at, "wb") as f:
-            for row in iterator:
-                f.write(bytes(row[0]) if self.raw else frame(bytes(row[0])))
+            while some := [bytes(row[0]) for row in islice(iterator, 4096)]:
+                f.write(b"".join(some if self.raw else framed(some)))
         return Written(at, os.path.join(self.path, name))
 
     def commit(self, messages: list) -> None:

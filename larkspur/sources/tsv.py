@@ -6,8 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from larkspur.config import StorageConfig
 from larkspur.functions.text import robust_field
 from larkspur.operators.lexicon import last_wins, member_list
+from larkspur.session import numbered
+from larkspur.sources import named
 
 
 def read_tsv(spark: SparkSession, path: str, columns: list[str], quote: str = '"') -> DataFrame:
@@ -55,15 +58,20 @@ def robust_rows(df: DataFrame) -> DataFrame:
 
 
 def write_tsv(df: DataFrame, path: str, gzip: bool = False, limit: int | None = None, files: int | None = 1, mode: str = "errorifexists") -> None:
-    """df as tab-separated text with CRLF after each row; in files with up to limit rows, if given."""
+    """df as tab-separated text with CRLF after each row; in files with up to limit rows, if given. What comes before the writers keeps its own tasks."""
     out = robust_rows(df)
-    w = (out.coalesce(files) if files else out).write.mode(mode).option("lineSep", "\r\n").option("compression", "gzip" if gzip else "none")
+    w = (out.repartition(files) if files else out).write.mode(mode).option("lineSep", "\r\n").option("compression", "gzip" if gzip else "none")
     (w.option("maxRecordsPerFile", limit) if limit else w).text(path)
 
 
+def write_tsv_limited(df: DataFrame, folder: str, limit: int = 1000, gzip: bool = False, tasks: int = 1) -> None:
+    """df as robust rows in a mounted folder, in files task-part: each task's first file holds limit - 1 rows, its later ones limit."""
+    named.write_named(robust_rows(df), StorageConfig(folder, "", "", "", limit, compress=gzip), "limited", tasks)
+
+
 def limited_files(df: DataFrame, order: list[str], limit: int = 1000) -> DataFrame:
-    """df with file: which of the rolled files a row goes to. The first holds limit - 1 rows, later ones limit. One order of all rows: for outputs that one task writes."""
-    return df.withColumn("file", F.floor(F.row_number().over(Window.orderBy(*order)) / limit).cast("int"))
+    """df with file: which of the rolled files a row goes to, in one order of all rows. The first holds limit - 1 rows, later ones limit."""
+    return numbered(df, order, "_row").withColumn("file", F.floor((F.col("_row") + 1) / limit).cast("int")).drop("_row")
 
 
 def write_dictionary(words: DataFrame, path: str, mode: str = "errorifexists") -> None:

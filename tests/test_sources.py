@@ -1,5 +1,6 @@
 import gzip
 import http.server
+import random
 import threading
 from urllib.parse import parse_qs
 
@@ -61,6 +62,55 @@ def test_tsv(spark, tmp_path):
     tsv.write_tsv(spark.range(7).toDF("a"), str(tmp_path / "g"), gzip=True, limit=3)
     assert sorted(len(gzip.decompress(p.read_bytes()).split()) for p in (tmp_path / "g").glob("part*")) == [1, 3, 3]
     assert sorted(dict(tsv.limited_files(spark.range(7), ["id"], 3).groupBy("file").count().collect()).items()) == [(0, 2), (1, 3), (2, 2)]
+    tsv.write_tsv_limited(spark.range(7).coalesce(1), str(tmp_path / "l"), 3)
+    assert {p.name: p.read_bytes().count(b"\r\n") for p in (tmp_path / "l").iterdir()} == {"1-0": 2, "1-1": 3, "1-2": 2}
+    tsv.write_tsv_limited(spark.range(5).coalesce(1), str(tmp_path / "z"), 2, gzip=True)
+    assert {p.name: gzip.decompress(p.read_bytes()) for p in (tmp_path / "z").iterdir()} == {"1-0": b"0\r\n", "1-1": b"1\r\n2\r\n", "1-2": b"3\r\n4\r\n"}
+
+
+def test_numbered(spark):
+    from larkspur.session import numbered
+
+    df = spark.range(1000, numPartitions=7).selectExpr("(id * 7919) % 1000 as id", "id as x")
+    got = numbered(df, ["id"], "n")
+    assert got.where("n <> id").count() == 0 and got.count() == 1000
+    assert numbered(df.limit(0), ["id"], "n").count() == 0
+    assert sorted(r["n"] for r in numbered(df.selectExpr("1 as id"), ["id"], "n").collect()) == list(range(1000))
+
+
+def test_writers_keep_the_tasks_before_them(spark, tmp_path):
+    df = spark.range(100, numPartitions=5).selectExpr("cast(id as string) as v", "spark_partition_id() as p")
+    named.write_named(df.selectExpr("concat(v, ' ', p)"), StorageConfig(str(tmp_path), "n", "p"))
+    assert len({x.split()[1] for x in (tmp_path / "n/p.txt").read_text().split("\n")}) == 5
+    named.write_named(df.orderBy("v").select("v"), StorageConfig(str(tmp_path), "n", "s"), ordered=True)
+    assert (tmp_path / "n/s.txt").read_text().split("\n") == sorted(str(i) for i in range(100))
+
+
+def test_packed_blobs(spark, tmp_path):
+    (tmp_path / "c").mkdir()
+    (tmp_path / "c/b-1.txt").write_bytes(gzip.compress(b"x\ry\r\nz"))
+    (tmp_path / "c/b-2.txt").write_bytes(b"plain\n")
+    (tmp_path / "c/b-3.txt").write_bytes(gzip.compress(b"".join(b"line %06d\n" % i for i in range(20000)))[:-5000])
+    got = values(text.read_blobs(spark, StorageConfig(str(tmp_path), "c", "b")))
+    assert got[:4] == ["x", "y", "z", "plain"] and 0 < len(got) - 4 < 20000
+    assert values(text.read_blobs(spark, StorageConfig(str(tmp_path), "c", "b-2"))) == ["plain"]
+
+
+def test_cluster_needs_a_shared_folder():
+    from larkspur.session import shared_dir
+
+    class Conf:
+        def get(self, *_):
+            return None
+
+    class Context:
+        master = "spark://host:7077"
+
+    class Session:
+        conf, sparkContext = Conf(), Context()
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_dir(Session())
 
 
 def test_lexicon_files(spark, tmp_path):
@@ -97,6 +147,19 @@ def test_protobuf_golden():
     assert a.hex() == "0a200a0d0a03706f7312061a040a0201020a0f0a047465787412071a050a0303ac02"
     assert P.example({"pos": (P.INTS, []), "text": (P.INTS, [])}).hex() == "0a170a090a03706f7312021a000a0a0a047465787412021a00"
     assert P.frame(a).hex() == "220000000000000078113dfd0a200a0d0a03706f7312061a040a0201020a0f0a047465787412071a050a0303ac028d8320ce"
+    r = random.Random(1)
+    records = [r.randbytes(n) for n in (0, 1, 9, 63, 64, 65, 300, 5000, 100_000)] + [b"123456789"] * 2
+    by_bytes = []
+    for x in records:
+        c = 0xFFFFFFFF
+        for y in x:
+            c ^= y
+            for _ in range(8):
+                c = c >> 1 ^ P.POLYNOMIAL * (c & 1)
+        by_bytes.append(c ^ 0xFFFFFFFF)
+    assert P.crc32c_many(records).tolist() == [P.crc32c(x) for x in records] == by_bytes and P.crc32c_many([]).size == 0
+    lists = [[0, 127, 128, 300, 2**40, -1, 2**63 - 1], [], None, [5]]
+    assert P.packed_lists(lists) == [b"".join(P.varint(v) for v in x or []) for x in lists]
     assert P.crc32c(b"123456789") == 0xE3069283 and P.unmask(P.mask(12345)) == 12345
     two = P.example({"pos": (P.INTS, [1])}) + P.example({"pos": (P.INTS, [7]), "text": (P.INTS, [9])})
     assert {k: v["ints"] for k, v in P.read_example(two).items()} == {"pos": [7], "text": [9]}
@@ -128,7 +191,7 @@ def test_naf(spark, tmp_path):
     d = naf.read_naf(spark, str(tmp_path)).first().asDict(True)
     assert d["terms"] == terms and d["predicates"] == predicates and d["raw_text"] == "dogs <&>"
     assert naf.numbered_name("a.txt", 2) == "a-2.xml" and naf.numbered_name(".a", 1) == ".a-1" and naf.numbered_name("a", 1) == "a-1"
-    pipelines.frame_dump(spark, str(tmp_path), str(tmp_path / "out"), leading_line=True)
+    assert pipelines.frame_dump(spark, str(tmp_path), str(tmp_path / "out"), leading_line=True) == {"COLLECTED_FRAMES": 1}
     assert "".join(p.read_text() for p in (tmp_path / "out").glob("part*")) == "\nIn frame (0) GIVING 'dogs' is the 'Donor'\n"
 
 
@@ -136,7 +199,8 @@ def test_relationships_file(spark, tmp_path):
     with gzip.open(tmp_path / "r.json.gz", "wt") as f:
         f.write('[{"relationships": [{"predicate": "on", "synsets": ["a"], "object": {"synsets": ["b"]}, "subject": {"synsets": []}}]}, {"relationships": []}]')
     r = naf.read_relationships(spark, str(tmp_path / "r.json.gz"))
-    assert r.count() == 2 and r.where("image_id = 0").selectExpr("relationships[0].object.synsets[0]").first()[0] == "b"
+    got = {x["image_id"]: x["relationships"] for x in r.collect()}
+    assert sorted(got) == [0, 1] and got[0][0]["object"]["synsets"] == ["b"] and got[1] == []
 
 
 class Service(http.server.BaseHTTPRequestHandler):
@@ -177,14 +241,17 @@ def test_jobs(spark, tmp_path):
     (tmp_path / "tweets/a.txt").write_text('{"user":{"id":1},"text":"dog on mat","lang":"en","entities":{"media":[{"indices":[10,10]}]}}\n{"user":{"id":2},"text":"dog","lang":"en"}\n')
     senses = spark.createDataFrame([("dog", "00000001-n"), ("on", "00000005-r"), ("mat", "00000002-n")], "lemma string, synset string")
     rules = RuleAnnotator(senses)
-    pipelines.extract_frames(spark, str(tmp_path / "tweets"), str(tmp_path / "res"), str(lex), annotator=rules)
+    counters = pipelines.extract_frames(spark, str(tmp_path / "tweets"), str(tmp_path / "res"), str(lex), annotator=rules)
+    nulls = {k: v for k, v in counters.items() if k.startswith("null-counter-")}
+    assert len(nulls) == 2 and set(nulls.values()) == {0} and {k: v for k, v in counters.items() if k not in nulls} == {"ERROR": 0, "ANNOTATED_SENTENCES": 1, "FILTER_OUT": 0, "PRIORITY_3": 1}
     assert "".join(p.read_text() for p in (tmp_path / "res/top_frames").glob("part*")).split("\t")[1:] == ["3", "<dog.n.01,on.r.01,mat.n.01>\n"]
     pipelines.extract_text(spark, StorageConfig(str(tmp_path), "c", "texts"), tweets=str(tmp_path / "tweets"))
     assert sorted((tmp_path / "c/texts.txt").read_text().split("\n")) == ["dog", "dog on mat"]
     with pytest.raises(ValueError):
         pipelines.extract_text(spark, StorageConfig(str(tmp_path), "c", "none"))
     target = StorageConfig(str(tmp_path), "c")
-    pipelines.blobs_to_frames(spark, StorageConfig(str(tmp_path), "c", "texts"), target, str(lex), rules)
+    counters = pipelines.blobs_to_frames(spark, StorageConfig(str(tmp_path), "c", "texts"), target, str(lex), rules)
+    assert counters == {"ERROR": 0, "ANNOTATED_SENTENCES": 2, "FILTER_OUT": 1, "PRIORITY_3": 1, "COLLECTED_FRAMES": 0}
     assert (tmp_path / "c/high-priority-verb.txt").exists()
     (tmp_path / "many").mkdir()
     (tmp_path / "many/t.txt").write_text("dog runs 10 , 000 miles\n" * 60 + "dog dog\n" * 60)
