@@ -17,6 +17,7 @@ from larkspur.operators.annotate import Annotator, HttpAnnotator, RuleAnnotator
 from larkspur.operators.frames import frame_sentences
 from larkspur.operators.lexicon import triple_index
 from larkspur.operators.tweets import filter_tweets, parse_tweets, split_priority, tweet_text, with_images
+from larkspur.session import cut
 from larkspur.sources import named, tsv
 from larkspur.sources.naf import read_naf, write_naf
 from larkspur.sources.text import open_text, read_documents, read_lines
@@ -27,8 +28,8 @@ TEXT, WORDS, POS = "annotated", "word.dict", "postag.dict"
 
 
 def with_ids(df: DataFrame, text: str) -> DataFrame:
-    """doc_id and text; the ids are unique within the result, which must be kept while they are used."""
-    return df.select(F.monotonically_increasing_id().alias("doc_id"), F.col(text).alias("text"))
+    """doc_id and text; the ids are unique within the result, which a checkpoint keeps: they stay the same if an executor is lost."""
+    return cut(df.select(F.monotonically_increasing_id().alias("doc_id"), F.col(text).alias("text")))
 
 
 def read_lexicon(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, DataFrame]:

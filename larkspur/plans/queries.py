@@ -2,18 +2,21 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from larkspur.functions.paths import json_path
+from larkspur.functions.protobuf import decode_example
 from larkspur.functions.text import break_hashtag, entity_text, simple_text, tidy_text
 from larkspur.operators import encode, lexicon, match, metrics, terms
 from larkspur.operators.annotate import RuleAnnotator
 from larkspur.operators.frames import frame_sentences as frames_of
 from larkspur.operators.tweets import filter_tweets, parse_tweets, serialize, split_priority, tweet_text, with_images
-from larkspur.session import table
-from larkspur.sources.named import chunk_sizes
-from larkspur.sources.tsv import limited_files, robust_rows
+from larkspur.session import shared_dir, table
+from larkspur.sources.named import chunk_sizes, tuple_string
+from larkspur.sources.tsv import limited_files, robust_rows, write_tsv_limited
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -110,7 +113,23 @@ def entity_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return t.select("tweet_id", tidy_text(entity_text(F.col("text"), F.col("entities"))).alias("text"))
 
 
-@query()
+def _json_items(kind: str, n: int, rep: str) -> str:
+    return f"select rid, {n} * 1000000 + i as ord, e.{kind}[i].indices[1] as s, e.{kind}[i].indices[2] as f, {rep} as rep from t, unnest(range(1, coalesce(len(e.{kind}), 0) + 1)) as u(i) where len(e.{kind}[i].indices) >= 2"
+
+
+_SHAPE = '{"hashtags": [{"text": "VARCHAR", "indices": ["INTEGER"]}], "user_mentions": [{"indices": ["INTEGER"]}], "urls": [{"indices": ["INTEGER"]}], "media": [{"indices": ["INTEGER"]}]}'
+
+
+@query(
+    f"with recursive {_PARSED}, {_INNER}, t as (select row_number() over () as rid, line_id, id, x->>'$.text' as text, length(x->>'$.text') as n, case when json_type(x, '$.entities') = 'OBJECT' then json_transform(x->'$.entities', '{_SHAPE}') end as e from i where x->>'$.text' is not null and lower(x->>'$.lang') in {_LANGS}), "
+    f"e0 as ({_json_items('hashtags', 0, _BREAK.format(f'coalesce(e.hashtags[i].text, {chr(39) * 2})'))} union all {_json_items('user_mentions', 1, chr(39) + 'User' + chr(39))} union all {_json_items('urls', 2, chr(39) * 2)} union all {_json_items('media', 3, chr(39) * 2)}), "
+    "o as (select rid, s, f, rep, row_number() over (partition by rid order by s, ord) as k from e0 where s is not null and f is not null), "
+    "r as (select rid, 0 as k, 0 as p, '' as out from t union all "
+    "select rid, k, case when q < n then q + 1 else n end, out || case when p < s then substring(text, p + 1, least(s, n) - p) else '' end || case when q < n then rep else '' end "
+    "from (select r.rid, o.k, r.p, r.out, o.s, o.rep, t.text, t.n, greatest(r.p, least(o.s, t.n), o.f - 1) as q from r join o on o.rid = r.rid and o.k = r.k + 1 join t on t.rid = r.rid)), "
+    "l as (select rid, arg_max(p, k) as p, arg_max(out, k) as out from r group by rid) "
+    f"select line_id, id, case when e is null then {_TIDY.format('text')} else {_TIDY.format('(out || substring(text, p + 1))')} end as text from t join l on l.rid = t.rid"
+)
 def tweet_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole way from raw lines to normalised text."""
     return tweet_text(filter_tweets(_lines(spark, sf_dir), _LANGS)).select("line_id", "id", "text")
@@ -143,14 +162,47 @@ def chunk_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunk_sizes(table(spark, sf_dir, "tweet_lines").groupBy(F.col("blob_name").alias("name")).agg(F.sum(F.octet_length("raw_line")).alias("length")))
 
 
+@query("select '(' || doc_id || ',' || coalesce(lang, 'null') || ',' || coalesce(n_chars::varchar, 'null') || ')' as value from documents")
+def tuple_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows in brackets."""
+    return table(spark, sf_dir, "documents").select(tuple_string(F.col("doc_id"), F.col("lang"), F.col("n_chars")).alias("value"))
+
+
+@query("with f as (select (row_number() over (order by doc_id) // 100)::int as file from documents) select '1-' || file as file, count(*) as rows from f group by file")
+def rolled_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rolling writer's files, written and read again."""
+    at = f"{shared_dir(spark)}/rolled-{uuid.uuid4().hex}"
+    write_tsv_limited(table(spark, sf_dir, "documents").select("doc_id"), at, 100)
+    return spark.read.text(at).groupBy(F.col("_metadata.file_name").alias("file")).agg(F.count(F.lit(1)).alias("rows"))
+
+
 @query("with f as (select (row_number() over (order by doc_id) // 100)::int as file from documents) select file, count(*) as rows from f group by file")
 def file_roll_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return limited_files(table(spark, sf_dir, "documents").select("doc_id"), ["doc_id"], 100).groupBy("file").agg(F.count(F.lit(1)).alias("rows"))
 
 
-@query("select doc_id, len(regexp_extract_all(text, '[\\p{L}\\p{M}]+(?:[''’-][\\p{L}\\p{M}]+)*|[0-9]+(?:[.,][0-9]+)*|[^\\s\\p{L}\\p{M}0-9]'))::int as terms from documents where text is not null")
+_POS = """case when regexp_matches(t, '^[0-9]') then 'CD' when t in (',', ';') then ',' when t in ('.', '!', '?') then '.' when t in (':', '-', '…') then ':' when not regexp_matches(t, '\\p{L}') then 'SYM'
+when lower(t) in ('the', 'a', 'an', 'this', 'that') then 'DT' when lower(t) in ('of', 'in', 'on', 'at', 'by', 'with', 'from', 'to') then 'IN' when lower(t) in ('and', 'or', 'but') then 'CC'
+when regexp_matches(t, '^\\p{Lu}') then 'NNP' when t like '%ed' then 'VBD' when t like '%ing' then 'VBG' when t like '%ly' then 'RB' when t like '%s' then 'NNS' else 'NN' end"""
+
+
+@query(
+    f"with t as (select doc_id, regexp_extract_all(text, '[\\p{{L}}\\p{{M}}]+(?:[''’-][\\p{{L}}\\p{{M}}]+)*|[0-9]+(?:[.,][0-9]+)*|[^\\s\\p{{L}}\\p{{M}}0-9]') as a from documents where text is not null) "
+    f"select doc_id, len(a)::int as n, array_to_string(list_transform(a, lambda t: t || '@' || {_POS}), ' ') as terms from t"
+)
 def rule_annotation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return RuleAnnotator().annotate(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", F.size("terms").alias("terms"))
+    """Every text's terms with their parts of speech."""
+    d = RuleAnnotator().annotate(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return d.select("doc_id", F.size("terms").alias("n"), F.array_join(F.transform("terms", lambda t: F.concat(t["form"], F.lit("@"), t["morphofeat"])), " ").alias("terms"))
+
+
+@query("select doc_id, idx, lemma, pos, case when regexp_full_match(synset, '[0-9]{8}-[a-z]') then synset when idx % 2 = 0 then '00000001-v' end as synset from simple_term")
+def picked_synsets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Terms of documents, each with the first reference that is a synset's id."""
+    ref = lambda name, value: F.struct(F.lit(name).alias("resource"), value.alias("reference"))
+    refs = F.array(ref("form", F.col("lemma")), ref("wordnet", F.col("synset")), ref("other", F.when(F.col("idx") % 2 == 0, "00000001-v")))
+    t = table(spark, sf_dir, "simple_term").select("doc_id", "idx", F.array(F.struct(F.col("lemma").alias("form"), F.col("pos").alias("morphofeat"), refs.alias("refs"))).alias("terms"))
+    return t.select("doc_id", "idx", F.explode(terms.simple_terms(F.col("terms"))).alias("t")).select("doc_id", "idx", "t.lemma", "t.pos", "t.synset")
 
 
 # ---- terms ----
@@ -223,13 +275,40 @@ def encoded_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ids.select("doc_id", *[F.array_join(F.col(c).cast("array<string>"), " ").alias(c) for c in ("text", "pos")])
 
 
-@query()
+def _varint(n: str) -> str:
+    """SQL: the whole number n, below 2**28, as a varint in hex."""
+    low = "printf('%02X', {0} % 128 + 128)".format
+    return f"(case when {n} < 128 then printf('%02X', {n}) when {n} < 16384 then {low(n)} || printf('%02X', {n} // 128) when {n} < 2097152 then {low(n)} || {low(f'({n} // 128)')} || printf('%02X', {n} // 16384) else {low(n)} || {low(f'({n} // 128)')} || {low(f'({n} // 16384)')} || printf('%02X', {n} // 2097152) end)"
+
+
+def _delimited(tag: str, body: str) -> str:
+    """SQL: a field of bytes in hex with its length."""
+    return f"('{tag}' || {_varint(f'(length({body}) // 2)')} || {body})"
+
+
+# Each level of the message is a table of its own, so that lengths are lengths of columns.
+_EXAMPLE = (
+    f"{_DICTS}, x0 as (select doc_id, string_agg({_varint('coalesce(wi, 0)')}, '' order by idx, sub) as t, string_agg({_varint('coalesce(qi, 0)')}, '' order by idx, sub) as p from j group by doc_id), "
+    f"x1 as (select doc_id, {_delimited('0A', 't')} as t, {_delimited('0A', 'p')} as p from x0), x2 as (select doc_id, {_delimited('1A', 't')} as t, {_delimited('1A', 'p')} as p from x1), "
+    f"x3 as (select doc_id, '0A0474657874' || {_delimited('12', 't')} as t, '0A03706F73' || {_delimited('12', 'p')} as p from x2), x4 as (select doc_id, {_delimited('0A', 'p')} || {_delimited('0A', 't')} as f from x3)"
+)
+
+
+@query(f"with {_EXAMPLE} select doc_id, {_delimited('0A', 'f')} as example from x4")
 def example_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Training examples on the wire, in hex."""
     t = _clean(spark, sf_dir)
     return encode.to_examples(encode.encode_ids(t, *_dicts(t))).select("doc_id", F.hex("example").alias("example"))
 
 
+@query(ORACLE["encoded_ids"])
+def decoded_examples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ids read from training examples again."""
+    t = _clean(spark, sf_dir)
+    e = encode.to_examples(encode.encode_ids(t, *_dicts(t))).select("doc_id", decode_example("example").alias("f"))
+    return e.select("doc_id", *[F.array_join(F.try_element_at("f", F.lit(c))["ints"].cast("array<string>"), " ").alias(c) for c in ("text", "pos")])
+
+
 # ---- lexicon ----
 
 _LEX = """o as (select name, min(lpad(syn_offset::varchar, 8, '0') || '-' || pos) as id from wordnet_offsets where name is not null and syn_offset is not null and pos is not null group by name),
@@ -261,6 +340,13 @@ def vg_synsets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _lexicon(spark, sf_dir)[2]
 
 
+@query(f"with {_LEX} select predicate, rel, obj, subj from (select *, row_number() over (partition by rel order by image_id desc, place desc) as k from z where rel is not null) where k = 1")
+def lexicon_last_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of rows with one relation, the last."""
+    r = lexicon.resolved(lexicon.relationship_rows(table(spark, sf_dir, "relationships")), table(spark, sf_dir, "wordnet_offsets"))
+    return lexicon.last_wins(r.where("rel is not null"), "rel", "seq").select("predicate", "rel", "obj", "subj")
+
+
 @query(f"with {_LEX}, both_ways as (select rel, obj as o, subj as s from raw union all select rel, subj, obj from raw) select rel, o, s, count(*) as freq from both_ways group by rel, o, s")
 def triple_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexicon.triple_index(_lexicon(spark, sf_dir)[0])

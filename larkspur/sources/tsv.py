@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from larkspur.config import StorageConfig
 from larkspur.functions.text import robust_field
@@ -20,9 +19,10 @@ def read_tsv(spark: SparkSession, path: str, columns: list[str], quote: str = '"
 
 
 def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
-    """n, value: the lines of one small file in order (lexicons, dictionaries)."""
-    whole = spark.read.text(path, wholetext=True)
-    return whole.select(F.posexplode(F.split(F.regexp_replace("value", r"\r?\n\z", ""), r"\r?\n")).alias("n", "value")).where("value <> ''")
+    """n, value: the lines of a file that aren't empty, numbered from 0 in their order."""
+    lines = spark.read.option("lineSep", "\n").text(path).select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("at"), "value")
+    lines = lines.withColumn("value", F.regexp_replace("value", r"\r\z", "")).where("value <> ''")
+    return numbered(lines, ["path", "block", "at"], "n").select("n", "value")
 
 
 def _columns(lines: DataFrame, *names: str) -> DataFrame:
@@ -48,8 +48,7 @@ def read_raw_relations(spark: SparkSession, path: str) -> DataFrame:
 
 def read_dictionary(spark: SparkSession, path: str) -> DataFrame:
     """token, id: the first column of each line, numbered in the file's order from 0; quotation marks are part of tokens."""
-    lines = numbered_lines(spark, path).select((F.row_number().over(Window.orderBy("n")) - 1).cast("int").alias("id"), F.split("value", "\t")[0].alias("token"))
-    return lines.select("token", "id")
+    return numbered_lines(spark, path).select(F.split("value", "\t")[0].alias("token"), F.col("n").cast("int").alias("id"))
 
 
 def robust_rows(df: DataFrame) -> DataFrame:
