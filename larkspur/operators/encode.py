@@ -4,18 +4,19 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from larkspur.functions.protobuf import term_example
 from larkspur.functions.text import UNKNOWN
+from larkspur.session import numbered
 
 #: The id of what isn't in a dictionary. It is also the first entry's id.
 UNKNOWN_ID = 0
 
 
 def dictionary(counts: DataFrame, key: str) -> DataFrame:
-    """token, id, n: ids from 0 by falling count, then by token. For dictionaries of a size that people handle: the ids need one order of all."""
-    return counts.where(F.col(key).isNotNull()).select(F.col(key).alias("token"), "n").withColumn("id", (F.row_number().over(Window.orderBy(F.desc("n"), "token")) - 1).cast("int")).select("token", "id", "n")
+    """token, id, n: ids from 0 by falling count, then by token. Numbered in parts (numbered), so a large dictionary is no single task's either."""
+    d = counts.where(F.col(key).isNotNull()).select(F.col(key).alias("token"), "n")
+    return numbered(d, [F.desc("n"), "token"], "id").select("token", F.col("id").cast("int").alias("id"), "n")
 
 
 def checked(words: DataFrame) -> DataFrame:

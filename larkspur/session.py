@@ -6,7 +6,7 @@ import os
 import re
 import tempfile
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -61,7 +61,7 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def numbered(df: DataFrame, order: list[str], name: str) -> DataFrame:
+def numbered(df: DataFrame, order: list[str | Column], name: str) -> DataFrame:
     """df with each row's number in one order of all rows, from 0, as column name; rows equal in the order's columns are numbered in any order.
 
     No task sees all rows: they are split by ranges of the order and kept so (a checkpoint, as range bounds are drawn from a sample), and each part's numbers begin
