@@ -45,7 +45,13 @@ def _finders() -> tuple:
             ranges.append(re.escape(chr(a)) + "-" + re.escape(chr(x)))
             a = y
     own = "".join(chr(c) for c in range(0x400, 0x500) if c not in latin_table())
-    return re.compile("[" + "".join(ranges) + "]"), re.compile("[\u0300-\u036f\u3099\u309a\u212a]"), re.compile("[\u0370-\u058f\u2160-\u217f\ua4d0-\ua4ff\u0251-\u0269]"), re.compile(f"[{own}]")
+    return re.compile("[" + "".join(ranges) + "]"), re.compile("[\u0300-\u036f\u3099\u309a\u212a]"), re.compile("[\u0370-\u058f\u13a0-\u13ff\u1d26\u2160-\u217f\ua4d0-\ua4ff\u0131\u0237\u0251-\u0269\u028f]"), re.compile(f"[{own}]")
+
+
+def changes(text: str) -> bool:
+    """Whether a text has characters that have another plain form or may look like a Latin letter."""
+    changed, _, other, _ = _finders()
+    return bool(changed.search(text) or other.search(text))
 
 
 def is_cyrillic(text: str) -> bool:

@@ -15,8 +15,10 @@ it stands, whatever invisible characters it has; texts of any length are searche
 
 from __future__ import annotations
 
+import functools
 import random
 import re
+from bisect import bisect
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from larkspur.llm.boosting import Calibrated
-from larkspur.llm.chars import latin_table, plain_table
+from larkspur.llm.chars import changes, latin_table, plain_table
 
 KINDS = ("email", "phone", "id_number", "address", "name")
 
@@ -74,10 +76,11 @@ PERSON_AFTER = frozenset("is was has lives lived moved works worked said says wr
 
 UP = "A-ZÀ-ÖØ-ÞĀĂĄĆČĎĐĒĖĘĚĞĢĪĮİĶŁĻĽŃŅŇŌŐŒŔŘŚŞŠŢŤŪŮŰŲŹŻŽΑ-ΩА-ЯЁ"
 LINK = re.compile(r"https?://\S+", re.I)
-EMAIL = re.compile(r"(?<![\w@/])[^\W_](?:[\w.+%-]*\w)?(?:@|\s@\s|\s?[\[({]\s?at\s?[\])}]\s?|\sat\s)(?:[^\W_][\w-]*(?:\.|\s?[\[({]\s?dot\s?[\])}]\s?|\sdot\s))+[^\W\d_]{2,}(?![\w@]|\s?[\[({]\s?at\b)", re.I)
+EMAIL = re.compile(r"(?<![\w@/])[^\W_](?:[\w.+%-]{0,62}\w)?(?:@|\s@\s|\s?[\[({]\s?at\s?[\])}]\s?|\sat\s)(?:[^\W_][\w-]*(?:\.|\s?[\[({]\s?dot\s?[\])}]\s?|\sdot\s))+[^\W\d_]{2,}(?![\w@]|\s?[\[({]\s?at\b)", re.I)
+DIGIT = re.compile(r"\d")
 MAYBE_EMAIL = re.compile(r"@|(?:\W|^)at\W", re.I)
 DIGITS = re.compile(r"(?<![\w#@.])(?<!\d[,:/-])(?<![,:/-][,:/-])(?:\+|\(\+?|00)?\d(?:[\d()]|[ .\-/](?=[\d(])|[ ](?=\())*\d(?:[ -]?[A-Za-z](?![\w]))?(?![\w@]|[.,:/]\d)")
-ALNUM = re.compile(r"(?<![\w/#@.])(?=[A-Za-z0-9 -]*\d)(?:[A-Za-z]{1,3}\d[A-Za-z0-9]{5,9}|[A-Za-z]{2}(?: ?\d{2}){3} ?[A-Za-z]|[A-Za-z]{3} ?[A-Za-z]{3} ?\d{2}[A-Za-z]\d{2} ?[A-Za-z]\d{3}[A-Za-z]|[A-Za-z]-?\d{7}-?[A-Za-z]|\d{1,2}[A-Z]\d[A-Z0-9]{4,9}|[A-Z]\d[A-Z0-9]{7,8})(?![\w@])")
+ALNUM = re.compile(r"(?<![\w/#@.])(?=[A-Za-z0-9 -]{0,24}\d)(?:[A-Za-z]{1,3}\d[A-Za-z0-9]{5,9}|[A-Za-z]{2}(?: ?\d{2}){3} ?[A-Za-z]|[A-Za-z]{3} ?[A-Za-z]{3} ?\d{2}[A-Za-z]\d{2} ?[A-Za-z]\d{3}[A-Za-z]|[A-Za-z]-?\d{7}-?[A-Za-z]|\d{1,2}[A-Z]\d[A-Z0-9]{4,9}|[A-Z]\d[A-Z0-9]{7,8})(?![\w@])")
 WAY_EN = r"(?:street|st|road|rd|lane|ln|drive|dr|avenue|ave|court|ct|way|close|crescent|terrace|square|place|boulevard|blvd|row|hill|walk|gardens|grove)"
 HOUSE = r"\d{1,4}(?:\s?(?:bis|ter|[a-d])\b)?"
 NAMEW = r"[^\W\d_][^\W\d_'’-]*"
@@ -103,6 +106,8 @@ def flat(text: str) -> tuple[str, list[int] | None]:
     """text with one plain character for each of its visible ones, and these's places in text (None: the same)."""
     if text.isascii():
         return text.replace("\t", " ").replace("\r", "\n"), None  # no item goes on in the next line
+    if not changes(text):
+        return text.replace("\t", " ").replace("\r", "\n"), None
     table, latin = plain_table(), latin_table()
     out, at = [], []
     for i, c in enumerate(text):
@@ -130,7 +135,7 @@ def candidates(x: str) -> list[tuple[int, int, str]]:
     out: dict[tuple[int, int, str], None] = {}
     if MAYBE_EMAIL.search(x):
         out.update({(m.start(), m.end(), "email"): None for m in EMAIL.finditer(x)})
-    if any(c.isdigit() for c in x):
+    if DIGIT.search(x):
         for m in DIGITS.finditer(x):
             if len(digits_of(m[0])) >= 6:
                 out[m.start(), m.end(), "phone"] = out[m.start(), m.end(), "id_number"] = None
@@ -143,7 +148,8 @@ def candidates(x: str) -> list[tuple[int, int, str]]:
             out[m.start(1), f.end(), "name"] = None
     if out and "://" in x:
         links = [m.span() for m in LINK.finditer(x)]
-        return [c for c in out if all(c[1] <= a or b <= c[0] for a, b in links)]
+        free = lambda s, e: (n := bisect(links, (e,))) == 0 or links[n - 1][1] <= s  # noqa: E731 the last link that begins before the span's end
+        return [c for c in out if free(c[0], c[1])]
     return list(out)
 
 
@@ -151,7 +157,7 @@ def names(x: str) -> Iterator[re.Match]:
     """Matches whose first group may be a given name: by form, after a title or an introducing word, or a common one."""
     yield from (m for m in GIVEN_AT.finditer(x) if (w := m[1].lower()) in GIVEN or (not w.isascii() and strip(w) in GIVEN))
     yield from TITLED.finditer(x)
-    small = sum(c.islower() for c in x)
+    small = sum(map(str.islower, x))
     if small > 0.4 * len(x):  # else capitals mean nothing
         yield from PAIR.finditer(x)
     else:
@@ -341,7 +347,9 @@ class Judges:
             self.thresholds[kind] = float(cuts[np.flatnonzero(np.array(f1) >= max(f1) - 1e-9)].mean())  # the middle of the best
 
 
+@functools.cache
 def train(n: int = 9600) -> Judges:
+    """Trained once a process: the training texts are always the same."""
     return Judges(n)
 
 
@@ -362,8 +370,12 @@ def items(texts: list[str | None], judges: Judges) -> list[list[tuple[str, int,
             p = judges.trees[kind](np.array(x[kind], np.float32))
             scored += [(*w, v) for w, v in zip(where[kind], p.tolist(), strict=True) if v >= judges.thresholds[kind]]
     out: list[list] = [[] for _ in texts]
+    taken: dict[int, list[tuple[int, int]]] = {}  # each text's accepted spans in order: no two overlap
     for k, s, e, kind, v in sorted(scored, key=lambda c: (c[0], -round(c[4], 1), c[1], -c[2], -c[4])):
-        if all(e <= a or b <= s for _, a, b, _ in out[k]):
+        spans = taken.setdefault(k, [])
+        n = bisect(spans, (s, e))
+        if (n == 0 or spans[n - 1][1] <= s) and (n == len(spans) or e <= spans[n][0]):
+            spans.insert(n, (s, e))
             out[k].append((kind, s, e, v))
     for k, found in enumerate(out):
         at = flats[k][1] if found else None

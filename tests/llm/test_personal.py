@@ -83,3 +83,12 @@ def test_places_in_the_text_as_it_stands(spark):
 
 def test_empty(spark):
     assert personal.found(spark.createDataFrame([], "id bigint, text string"), "id", "text").count() == 0
+
+
+def test_many_items_in_one_text(model):
+    import time
+
+    t = "call 020 7946 0109, mail a.b@mail.example at https://x.example/020-7946-0109 now. " * 6000 + "a." * 200_000 + " @"
+    began = time.perf_counter()
+    got = personal.items([t], model)[0]
+    assert [k for k, _, _, _ in got] == ["phone", "email"] * 6000 and time.perf_counter() - began < 60
