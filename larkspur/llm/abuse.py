@@ -28,7 +28,7 @@ from larkspur.llm.sample import bounded
 from larkspur.session import cut
 
 #: Labelled texts to learn from, at most.
-MOST_LABELS = 14_000
+MOST_LABELS = 20_000
 THRESHOLD = 0.5
 #: The least score (and the greatest, less than 1 by as much) before scores are moved, and the width of the bins in which all texts' log odds are counted: some 12,000 bins, however many texts.
 LEAST, BIN = 0.002, 0.001
