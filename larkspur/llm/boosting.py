@@ -18,6 +18,7 @@ class Trees:
     def fit(self, x: np.ndarray, y: np.ndarray, w: np.ndarray | None = None) -> Trees:
         n, f = x.shape
         w = np.ones(n) if w is None else w
+        plain = bool((w == 1).all())  # rows of equal weight are counted
         self.cuts = [np.unique(np.quantile(x[:, j], np.linspace(0, 1, self.bins + 1)[1:-1])) if n else np.zeros(0) for j in range(f)]
         wide = max((len(c) for c in self.cuts), default=0) + 1
         b = np.stack([np.searchsorted(c, x[:, j], side="left") for j, c in enumerate(self.cuts)], 1) if f else np.zeros((n, 0), int)
@@ -35,7 +36,8 @@ class Trees:
                 # The sums of a level's nodes, features and bins at once.
                 nodes = 2**d
                 key = ((at - (nodes - 1))[:, None] * (f * wide) + place).ravel()
-                gl, hl, wl = (np.cumsum(np.bincount(key, np.repeat(v, f), nodes * f * wide).reshape(nodes, f, wide), axis=2) for v in (g, h, w))
+                sums = [np.bincount(key, np.repeat(v, f), nodes * f * wide) for v in (g, h)] + [np.bincount(key, None if plain else np.repeat(w, f), nodes * f * wide)]
+                gl, hl, wl = (np.cumsum(v.reshape(nodes, f, wide), axis=2) for v in sums)
                 gt, ht, wt = gl[:, :, -1:], hl[:, :, -1:], wl[:, :, -1:]
                 gain = gl**2 / (hl + self.ridge) + (gt - gl) ** 2 / (ht - hl + self.ridge) - gt**2 / (ht + self.ridge)
                 gain[(wl < self.leaf) | (wt - wl < self.leaf) | ~there] = -1
