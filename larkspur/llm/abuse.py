@@ -13,6 +13,8 @@ Defined cases: null and empty texts have score 0; repeated rows get equal scores
 
 from __future__ import annotations
 
+import functools
+import itertools
 import re
 import unicodedata
 from collections import Counter
@@ -23,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from larkspur.llm.boosting import Calibrated
-from larkspur.llm.chars import invisible, plain
+from larkspur.llm.chars import Kinds, codes, invisible, may_change, plain, written
 from larkspur.llm.sample import bounded
 from larkspur.session import cut
 
@@ -32,6 +34,8 @@ MOST_LABELS = 20_000
 THRESHOLD = 0.5
 #: The least score (and the greatest, less than 1 by as much) before scores are moved, and the width of the bins in which all texts' log odds are counted: some 12,000 bins, however many texts.
 LEAST, BIN = 0.002, 0.001
+#: Characters of a batch's texts that are searched at once, about; a longer text is searched whole.
+AT_ONCE = 250_000
 
 # Words that are common in such language, and in harmless talk of the same things, in several languages, without accents. A hyphen ends the
 # beginning of a word, _ stands between the words of a phrase.
@@ -59,15 +63,15 @@ KINDS = list(LEXICON)
 HOT = ("insult", "threat", "dehuman", "expel", "sexual")
 NEAR = [("insult", "second"), ("threat", "second"), ("sexual", "second"), ("dehuman", "group"), ("expel", "group"), ("insult", "context"), ("sexual", "context"), ("insult", "against")]
 
-SKIP = re.compile(r"https?://\S*|[@#]\w+|\b[Rr][Tt]\b", re.I)
+# Links, mentions, hashtags and RT; the first character is told first, as most are none of these.
+SKIP = re.compile(r"[hH@#rR](?:(?<=[hH])[tT][tT][pP][sSſ]?://\S*|(?<=[@#])\w+|(?<=[rR])(?<!\w[rR])[tT]\b)")
 SPACED = re.compile(r"(?<![^\W_])((?:[^\W\d_][ .\-_*]){2,}[^\W\d_])(?![^\W_])")
 DRAWN = re.compile(r"([^\W\d_])\1{2,}")
 STARRED = re.compile(r"[^\W\d_]+\*+[^\W\d_*]*")
 LEET = re.compile(r"(?=\S*[^\W\d_])(?=\S*[0-9@$])[\w@$]{3,}")
 SIGN = re.compile(r"[0134578@$]")
 SIGNS = str.maketrans("0134578@$", "oieastbas")
-SENTENCE = re.compile(r"[.!?。！？…\n|🤬]+")
-TOKEN = re.compile(r"[぀-ヿ㐀-鿿]|[^\W\d_぀-ヿ㐀-鿿]+")
+STAR, LINE = ord("*"), ord("\n")
 CAPITALS = re.compile(r"[A-ZÀ-ÖØ-ÞА-Я]")
 RUNS = re.compile(r"([^\W\d_])\1+")
 STATION = re.compile(r"[|\n:;/,]\s*[a-z]+\s*[:=]\s*\S", re.I)
@@ -87,33 +91,108 @@ def entries() -> list[tuple[str, str]]:
 
 
 HIDDEN = invisible()
-
-
-class Text:
-    """A text freed from disguise: its sentences' words and what was found on the way."""
-
-    __slots__ = ("sentences", "stats")
-
-    def __init__(self, text: str, starred: dict):
-        x = SKIP.sub(" ", plain(text))
-        letters = len(text) or 1
-        capitals, bangs, swears = len(CAPITALS.findall(x)) / letters, x.count("!") / letters, x.count("🤬")
-        low = x.lower()
-        spaced = stars = signs = 0
-        if SPACED.search(low):
-            low, spaced = SPACED.subn(lambda m: re.sub(r"[ .\-_*]", "", m[1]), low)
-        if "*" in low:
-            low, stars = STARRED.subn(lambda m: starred.get((m[0][0], m[0][-1] if m[0][-1] != "*" else "", len(m[0])), m[0]), low)
-        if SIGN.search(low):
-            low, signs = LEET.subn(lambda m: m[0].translate(SIGNS), low)
-        drawn = len(DRAWN.findall(low))
-        hidden = 0 if text.isascii() else sum(1 for c in text if ord(c) in HIDDEN)
-        self.stats = (capitals, bangs, float(swears), float(spaced), float(stars), float(signs), float(drawn), float(hidden))
-        self.sentences = [w for s in SENTENCE.split(folded(low)) if (w := TOKEN.findall(s))]
-
-    def sequences(self) -> set[str]:
-        """The runs of one to three words of the sentences, but for single short ones, which are mostly function words."""
-        return {" ".join(w[i : i + n]) for w in self.sentences for n in (1, 2, 3) for i in range(len(w) - n + 1) if n > 1 or len(w[i]) > 3 or w[i] > "\u3040"}
+# What a batch of texts is searched for, character by character.
+TESTS = (
+    may_change, re.compile(r"[^\W\d_]").match, re.compile(r"[ .\-_*]").match, SIGN.match, CAPITALS.match, unicodedata.combining, re.compile(r"[.!?。！？…\n|🤬]").match, re.compile("[぀-ヿ㐀-鿿]").match, re.compile("!").match, re.compile("🤬").match,
+    lambda c: ord(c) in HIDDEN,
+)
+CHANGED, LETTER, BETWEEN, FOR_LETTER, CAPITAL, ACCENT, END, EAST, BANG, SWEAR, UNSEEN = (1 << k for k in range(len(TESTS)))
+
+
+@functools.cache
+def kinds() -> Kinds:
+    return Kinds(*TESTS)
+
+
+def undisguised(low: str, starred: dict) -> tuple[str, int, int, int, int]:
+    """A text in lower case without its disguises, and how many it had: letters apart, stars, signs for letters, drawn out."""
+    spaced = stars = signs = 0
+    if SPACED.search(low):
+        low, spaced = SPACED.subn(lambda m: re.sub(r"[ .\-_*]", "", m[1]), low)
+    if "*" in low:
+        low, stars = STARRED.subn(lambda m: starred.get((m[0][0], m[0][-1] if m[0][-1] != "*" else "", len(m[0])), m[0]), low)
+    if SIGN.search(low):
+        low, signs = LEET.subn(lambda m: m[0].translate(SIGNS), low)
+    return low, spaced, stars, signs, len(DRAWN.findall(low))
+
+
+class Texts:
+    """Texts freed from disguise, all of them at once, divided by line ends (which nothing here adds or takes away): the sentences' words as one string and
+    what was found on the way."""
+
+    def __init__(self, texts: list[str | None], starred: dict):
+        n, x = len(texts), [t or "" for t in texts]
+        sizes = np.fromiter(map(len, x), np.int64, n)
+        disguises, kind = np.zeros((n, 4)), kinds()
+        bits, until = kind(codes("\n".join(x))), np.cumsum(sizes + 1) - 1
+        hidden = np.bincount(np.searchsorted(until, np.flatnonzero(bits & UNSEEN)), minlength=n)
+        for k in np.unique(np.searchsorted(until, np.flatnonzero(bits & CHANGED))).tolist():
+            x[k] = plain(x[k])
+        lines = np.fromiter((t.count("\n") + 1 for t in x), np.int64, n)
+
+        def ends(points: np.ndarray) -> np.ndarray:
+            return np.r_[np.flatnonzero(points == LINE), len(points)][np.cumsum(lines) - 1] if n else np.zeros(0, np.int64)
+
+        shown = SKIP.sub(" ", "\n".join(x))
+        points = codes(shown)
+        bits, until = kind(points), ends(points)
+        capitals, bangs, swears = (np.bincount(np.searchsorted(until, np.flatnonzero(bits & b)), minlength=n) for b in (CAPITAL, BANG, SWEAR))
+        low = shown.lower()
+        points = codes(low)
+        bits, until = kind(points), ends(points)
+        # The texts that may have disguises are searched one by one.
+        may = (bits & FOR_LETTER != 0) | (points == STAR)
+        may[1:-1] |= (bits[:-2] & BETWEEN != 0) & (bits[1:-1] & LETTER != 0) & (bits[2:] & BETWEEN != 0)
+        may[2:] |= (points[2:] == points[1:-1]) & (points[1:-1] == points[:-2]) & (bits[2:] & LETTER != 0)
+        some = np.unique(np.searchsorted(until, np.flatnonzero(may))).tolist()
+        if some:
+            parts = [low[a:b] for a, b in zip([0, *(until[:-1] + 1).tolist()], until.tolist(), strict=True)]
+            for k in some:
+                parts[k], *disguises[k] = undisguised(parts[k], starred)
+            low = "\n".join(parts)
+        size = np.maximum(sizes, 1)
+        self.stats = np.column_stack([capitals / size, bangs / size, swears, disguises[:, 0], disguises[:, 1], disguises[:, 2], disguises[:, 3], hidden])
+
+        # As folded() does it, then words: letters of one script each, Chinese and Japanese signs one by one.
+        if not low.isascii():
+            low = unicodedata.normalize("NFD", low.replace("ß", "ss"))
+        points = codes(low)
+        points = points[kind(points) & ACCENT == 0]
+        bits = kind(points)
+        once = np.ones(len(points), bool)
+        once[1:] = (points[1:] != points[:-1]) | (bits[1:] & LETTER == 0)
+        points, bits = points[once], bits[once]
+        letter, east = bits & LETTER != 0, bits & EAST != 0
+        word = letter & ~east
+        begin = word.copy()
+        begin[1:] &= ~word[:-1]
+        begin |= east
+        at = np.flatnonzero(begin)
+        sentence = np.cumsum(bits & END != 0)[at]
+        first = np.r_[True, sentence[1:] != sentence[:-1]][: len(at)]
+        #: Each sentence's text and number of words.
+        self.owner = np.repeat(np.arange(n), lines)[np.cumsum(points == LINE)[at[first]]]
+        self.words = np.diff(np.r_[np.flatnonzero(first), len(at)])
+        # The string: a blank before each word and after the last, a line end before each sentence.
+        kept = np.flatnonzero(word | east)
+        before = begin[kept].astype(np.int64)
+        before[np.searchsorted(kept, at[first])] = 3
+        place = np.arange(len(kept)) + np.cumsum(before)
+        out = np.full(len(kept) + int(before.sum()) + 1, ord(" "), np.uint32)
+        out[place] = points[kept]
+        self.begins = place[before == 3] - 1
+        out[self.begins - 1] = LINE
+        self.string = written(out)
+
+    def sequences(self) -> list[set[str]]:
+        """Each text's runs of one to three words of its sentences, but for single short ones, which are mostly function words."""
+        out: list[set[str]] = [set() for _ in self.stats]
+        for k, s in zip(self.owner.tolist(), self.string.split("\n")[1:], strict=True):
+            w = s.split()
+            out[k].update(x for x in w if len(x) > 3 or x > "\u3040")
+            out[k].update(map(" ".join, zip(w, w[1:], strict=False)))
+            out[k].update(map(" ".join, zip(w, w[1:], w[2:], strict=False)))
+        return out
 
 
 def starred_index() -> dict:
@@ -135,50 +214,77 @@ class Features:
         import ahocorasick
 
         self.weights, self.starred = weights, starred_index()
-        by: dict[str, list] = {}
+        by: dict[str, list[int]] = {}
         for kind, p in entries():
-            by.setdefault(p, []).append((KINDS.index(kind), 0.0))
-        for seq, v in weights.items():
-            by.setdefault(f" {seq} ", []).append((len(KINDS), v))
-        self.find = ahocorasick.Automaton()
-        for p, what in by.items():
-            self.find.add_word(p, (len(p), " " in p.strip(), what))
+            by.setdefault(p, []).append(KINDS.index(kind))
+        for seq in weights:
+            by.setdefault(f" {seq} ", [])
+        self.find = ahocorasick.Automaton(ahocorasick.STORE_INTS)
+        for k, p in enumerate(by):
+            self.find.add_word(p, k)
         self.find.make_automaton()
+        # Of each pattern: half its length, whether it is a phrase, its weight, whether it has one, and its kinds.
+        self.half = np.array([len(p) // 2 for p in by])
+        self.several = np.array([" " in p.strip() for p in by])
+        self.weight = np.array([weights.get(p[1:-1], 0.0) if p[-1] == " " else 0.0 for p in by])
+        self.number, self.kind = np.array([len(v) for v in by.values()]), np.array([k for v in by.values() for k in v], np.int64)
+        self.first = np.cumsum(self.number) - self.number
         self.hot = [KINDS.index(k) for k in HOT]
         self.near = [(KINDS.index(a), KINDS.index(b)) for a, b in NEAR]
         self.size = 2 * len(KINDS) + len(NEAR) + 6 + 8
 
-    def sentence(self, words: list[str]) -> tuple[float, list[float]]:
-        s = f" {' '.join(words)} "
-        at: list[list[int]] = [[] for _ in KINDS]
-        phrases = 0  # several words say more than one
-        total = high = low = 0.0
-        for end, (n, several, what) in self.find.iter(s):
-            for kind, v in what:
-                if kind < len(KINDS):
-                    at[kind].append(end - n // 2)
-                    phrases += several
-                else:
-                    total += v
-                    high, low = max(high, v), min(low, v)
-        k = len(words)
-        near = [min((abs(a - b) for a in at[i] for b in at[j]), default=200) for i, j in self.near]
-        strength = sum(len(at[i]) for i in self.hot) * 2 + total
-        return strength, [*[len(a) / k for a in at], *[float(len(a)) for a in at], *map(float, near), float(phrases), total, high, low, total / k, float(k)]
-
-    def rows(self, texts: list[Text | None]) -> np.ndarray:
-        out = np.zeros((len(texts), self.size), np.float32)
-        for row, x in enumerate(texts):
-            if x is None:
-                continue
-            best = max((self.sentence(w) for w in x.sentences), key=lambda s: s[0], default=None)
-            if best:
-                out[row, :-8] = best[1]
-            out[row, -8:] = x.stats
+    def sentences(self, x: Texts) -> tuple[np.ndarray, np.ndarray]:
+        """The strength and the features of each sentence."""
+        m, kinds = len(x.words), len(KINDS)
+        end, what = np.fromiter(itertools.chain.from_iterable(self.find.iter(x.string)), np.int64).reshape(-1, 2).T
+        own = np.searchsorted(x.begins, end, side="right") - 1
+        v = self.weight[what]
+        total = np.bincount(own, v, m)
+        high, low = np.zeros(m), np.zeros(m)
+        if len(own):
+            begin = np.flatnonzero(np.r_[True, own[1:] != own[:-1]])
+            high[own[begin]], low[own[begin]] = np.maximum(np.maximum.reduceat(v, begin), 0), np.minimum(np.minimum.reduceat(v, begin), 0)
+        # A row for each hit and kind.
+        n = self.number[what]
+        hit = np.repeat(np.arange(len(what)), n)
+        kind = self.kind[np.repeat(self.first[what] - np.cumsum(n) + n, n) + np.arange(len(hit))]
+        own, at = own[hit], (end - self.half[what])[hit]
+        counts = np.bincount(own * kinds + kind, minlength=m * kinds).reshape(m, kinds)
+        phrases = np.bincount(own, self.several[what][hit], m)  # several words say more than one
+        near = np.full((m, len(self.near)), np.inf)
+        for k, (i, j) in enumerate(self.near):
+            here, there = np.flatnonzero(kind == i), np.flatnonzero(kind == j)
+            there = there[np.argsort(at[there], kind="stable")]
+            next_one = np.searchsorted(at[there], at[here])
+            for side in (next_one - 1, next_one):
+                ok = (side >= 0) & (side < len(there))
+                a, b = here[ok], there[side[ok]]
+                a, b = a[own[a] == own[b]], b[own[a] == own[b]]
+                np.minimum.at(near[:, k], own[a], np.abs(at[a] - at[b]))
+        near[near == np.inf] = 200
+        strength = counts[:, self.hot].sum(1) * 2 + total
+        words = x.words[:, None]
+        return strength, np.hstack([counts / words, counts, near, np.column_stack([phrases, total, high, low, total / x.words, x.words])])
+
+    def rows(self, x: Texts) -> np.ndarray:
+        """Each text's strongest sentence and what was found on the way."""
+        out = np.zeros((len(x.stats), self.size), np.float32)
+        out[:, -8:] = x.stats
+        if len(x.words):
+            strength, features = self.sentences(x)
+            begin = np.flatnonzero(np.r_[True, x.owner[1:] != x.owner[:-1]])
+            most = np.flatnonzero(strength == np.repeat(np.maximum.reduceat(strength, begin), np.diff(np.r_[begin, len(strength)])))
+            own, first = np.unique(x.owner[most], return_index=True)
+            out[own, :-8] = features[most[first]]
         return out
 
     def __call__(self, texts: list[str | None]) -> np.ndarray:
-        return self.rows([Text(t, self.starred) if t else None for t in texts])
+        out, at = [np.zeros((0, self.size), np.float32)], 0
+        for k, size in enumerate(itertools.accumulate(len(t or "") + 1 for t in texts)):
+            if k + 1 == len(texts) or size // AT_ONCE > (size - len(texts[k] or "") - 1) // AT_ONCE:
+                out.append(self.rows(Texts(texts[at : k + 1], self.starred)))
+                at = k + 1
+        return np.concatenate(out)
 
 
 def learned(held: list[set[str]], y: np.ndarray, w: np.ndarray, least: int = 3, most: int = 4000) -> dict[str, float]:
@@ -212,19 +318,19 @@ class Model:
             # Without labels: the general lexicons' own entries are the examples.
             rows = [(p.strip() + (" you" if k in HOT else ""), k in HOT) for k, p in entries()]
         starred = starred_index()
-        texts = [Text(t, starred) for t, _ in rows]
-        held, part = [t.sequences() for t in texts], np.array([sum(map(ord, t)) % 3 for t, _ in rows])
+        held, part = Texts([t for t, _ in rows], starred).sequences(), np.array([sum(map(ord, t)) % 3 for t, _ in rows])
+        texts = [Texts([rows[i][0] for i in np.flatnonzero(part == h)], starred) for h in range(3)]
         y = np.array([float(v) for _, v in rows])
         self.fit(texts, held, part, y, np.ones(len(y)), 15)
         # Judgements that the rest of the sample speaks clearly against are taken for slips and count little.
         self.fit(texts, held, part, y, np.where(np.abs(y - self.unseen) > 0.85, 0.05, 1.0))
 
-    def fit(self, texts: list[Text], held: list[set[str]], part: np.ndarray, y: np.ndarray, w: np.ndarray, rounds: int = 50) -> None:
-        x = np.zeros((len(texts), Features({}).size), np.float32)
+    def fit(self, texts: list[Texts], held: list[set[str]], part: np.ndarray, y: np.ndarray, w: np.ndarray, rounds: int = 50) -> None:
+        x = np.zeros((len(y), Features({}).size), np.float32)
         for h in range(3):
             # The learned lexicon's features of a training text come from a lexicon that saw neither the text nor an equal one.
             out, own = np.flatnonzero(part != h), np.flatnonzero(part == h)
-            x[own] = Features(learned([held[i] for i in out], y[out], w[out])).rows([texts[i] for i in own])
+            x[own] = Features(learned([held[i] for i in out], y[out], w[out])).rows(texts[h])
         self.weights = learned(held, y, w)
         self.model = Calibrated(rounds=rounds, depth=3, rate=0.15, leaf=max(3.0, len(y) / 600)).fit(x, y, w)
         self.unseen = self.model.calibration(self.model.unseen)

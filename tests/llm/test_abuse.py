@@ -67,6 +67,31 @@ def test_share_of_cases_comes_from_all_tweets(spark, monkeypatch):
     assert len(got) == len(rows) and abs(np.mean(list(got.values())) - shares[0]) < 0.002
 
 
+def test_batches_are_searched_at_once(monkeypatch):
+    # What a text's features are doesn't turn with its neighbours, and a batch of plain texts costs no search of single texts.
+    r = random.Random(7)
+    odd = [None, "", "\n", "\n\n.", "you are a w0rthless 1d1ot\nf*** off", "i d i o t\n\nsooo bad", "\u0301a\u0301", "ﬀ\u200bидиот!", "ΣΑΣ İ ß", "バカ 🤬🤬\x00", "x httpſ://a.b @you #tag RT art"]
+    texts = [r.choice([*odd, *BAD, *GOOD]) for _ in range(300)]
+    f = abuse.Features({"old engine": -2.0, "worthless": 1.5, "you are": 0.5})
+    one = np.concatenate([f([t]) for t in texts])
+    assert (f(texts) == one).all()
+    monkeypatch.setattr(abuse, "AT_ONCE", 100)
+    assert (f(texts) == one).all() and not f([None, ""]).any() and f([]).shape == (0, f.size)
+    searched, real = [], abuse.undisguised
+    monkeypatch.setattr(abuse, "undisguised", lambda t, s: searched.append(t) or real(t, s))
+    f(GOOD * 50)
+    assert searched == ["sex education class moved to room 4"] * 50
+
+
+def test_features_by_hand():
+    f = abuse.Features({"old engine": -2.0})
+    x = f(["Nice old  ENGINE. Yоu​ stupid IDIOT, you!"])[0]
+    kinds, near = dict(zip(abuse.KINDS, x[len(abuse.KINDS) : 2 * len(abuse.KINDS)], strict=True)), dict(zip(abuse.NEAR, x[2 * len(abuse.KINDS) :], strict=False))
+    assert (kinds["insult"], kinds["second"], kinds["threat"]) == (2, 2, 0) and x[0] == 0.5 and near["threat", "second"] == 200 and 0 < near["insult", "second"] < 10
+    assert x[-10] == 0 and x[-9] == 4 and np.allclose(x[-8:], [13 / 41, 1 / 41, 0, 0, 0, 0, 0, 1])
+    assert f(["The old engine"])[0][-13:-8].tolist() == [-2, 0, -2, np.float32(-2 / 3), 3]
+
+
 def test_trees_and_isotonic():
     g = np.random.default_rng(0)
     x = g.normal(size=(800, 3)).astype(np.float32)
